@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, canonical, truncation, winnow
+from lodestone.llm import bpe, canonical, matching, truncation, winnow
 from lodestone.queries import query
 from lodestone.runtime import table
 
@@ -26,6 +26,25 @@ def p1_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.unmatched_report(table(spark, sf_dir, "cases"), table(spark, sf_dir, "disease_terms"))
 
 
+def _drug_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cases, spl = table(spark, sf_dir, "cases"), table(spark, sf_dir, "spl_ingredients")
+    open_cases = cases.where(F.coalesce(F.btrim("nda"), F.lit("")).rlike(r"^\s*$"))
+    rows = matching.records(open_cases, "cases", "case_row_id", "drugname", "ingredient", "mfr_sndr").unionByName(
+        matching.records(spl.where("role = 'active'"), "spl_ingredients", "ingredient_row_id", "product_name", "ingredient_name", "labeler_name")
+    )
+    return matching.match(rows, matching.targets(table(spark, sf_dir, "drugsfda_products")))
+
+
+@query()
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drug_matches(spark, sf_dir).select("appl_no", F.col("source").alias("source_table"), "row_id")
+
+
+@query()
+def p4_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _drug_matches(spark, sf_dir).select("appl_no", F.col("source").alias("source_table"), "row_id", "confidence")
+
+
 @query()
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_corpus(table(spark, sf_dir, "documents"))
