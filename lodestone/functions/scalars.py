@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 LABEL_URL = "https://dailymed.nlm.nih.gov/dailymed/drugInfo.cfm?setid="
 LABEL_PREFIX = "dailymed:"
+# The Unicode white space characters.
+SPACES = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 QUARTER_BASE = "https://fis.fda.gov/content/Exports"
 # Indications that name no condition (search, case-insensitive).
 STOP_PHRASES = (
@@ -40,7 +42,7 @@ def text(c: Column) -> Column:
 
 def stripped(c: Column) -> Column:
     """text() without Unicode white space at its ends."""
-    return F.regexp_replace(text(c), r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(text(c), F.lit(SPACES))
 
 
 def digits(c: Column) -> Column:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import scalars as S
+from lodestone.runtime import materialize
 
 
 def without_deleted(rows: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -25,9 +27,15 @@ def pre_aggregated(rows: DataFrame, keys: Sequence[str], value: str, name: str,
 
 
 def keep_first(rows: DataFrame, subset: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """Of rows equal in `subset` (nulls equal nulls) the first in `order`; the order must decide."""
-    w = Window.partitionBy(*subset).orderBy(*order)
-    return rows.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
+    """Of rows equal in `subset` (nulls equal nulls) the first in `order`, then by the other columns.
+
+    An aggregation with map-side combine: a hot group is cut down before it is shuffled. Columns must
+    be orderable (no maps or variants).
+    """
+    rest = [c for c in rows.columns if c not in subset]
+    rank = [(F.col(o) if isinstance(o, str) else o).alias(f"__o{i}") for i, o in enumerate(order)]
+    best = rows.select(*subset, F.struct(*rank, *rest).alias("__s")).groupBy(*subset).agg(F.min("__s").alias("__s"))
+    return best.select(*[F.col(c) if c in subset else F.col(f"__s.{c}") for c in rows.columns])
 
 
 def latest_wins(rows: DataFrame, key: Column, version: str) -> tuple[DataFrame, DataFrame]:
@@ -139,17 +147,41 @@ def typed_lookups(products: DataFrame, order: Sequence[str], separator: str = ";
     return keep_first(flat, ["lookup_type", "__fold", "appl_no_stripped"], [*order, "at", "term"]).select("lookup_type", "term", "appl_no", "appl_no_stripped", "appl_type")
 
 
-def dictionary_matches(texts: DataFrame, text: str, terms: DataFrame, term: str, ordinal: str) -> DataFrame:
-    """texts with `matches`: the dictionary rows whose term is a plain substring, in dictionary order.
+def dictionary_matches(texts: DataFrame, text: str, terms: DataFrame, term: str, ordinal: str, most: int = 200_000) -> DataFrame:
+    """texts with `matches`: the dictionary rows whose term is a plain substring (any case), in dictionary order.
 
-    The dictionary is broadcast (its caller knows its bound); distinct texts are matched once, so a
-    repeated text costs nothing more.
+    Each distinct text is scanned once by an automaton over all terms, so the cost does not grow with
+    their number. The dictionary goes to every worker; one of more than `most` rows is refused. Null
+    texts get null, texts without a term an empty array.
     """
-    words = terms.where(F.coalesce(F.col(term), F.lit("")) != "")
+    names = [c for c in terms.columns if c != ordinal]
+    entries = terms.select(F.col(ordinal).cast("long").alias("ordinal"), *[F.col(c).cast("string") for c in names]).where(F.coalesce(F.col(term), F.lit("")) != "").limit(most + 1).collect()
+    if len(entries) > most:
+        raise ValueError(f"a dictionary of more than {most} rows is not shipped to the workers")
+    listed = [r.asDict() for r in sorted(entries, key=lambda r: r["ordinal"])]
+    by_word: dict[str, list[int]] = {}
+    for i, e in enumerate(listed):
+        by_word.setdefault(e[term].lower(), []).append(i)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for word, at in by_word.items():
+            automaton.add_word(word, at)
+        if by_word:
+            automaton.make_automaton()
+        kind = pa.list_(pa.struct([("ordinal", pa.int64())] + [(n, pa.string()) for n in names]))
+        for b in batches:
+            found = []
+            for t in b.column(0).to_pylist():
+                hits = {i for _, at in automaton.iter(t.lower()) for i in at} if by_word else set()
+                found.append([listed[i] for i in sorted(hits)])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, kind)], names=["__t", "matches"])
+
     one = texts.select(F.col(text).alias("__t")).where("__t is not null").distinct()
-    entry = F.struct(F.col(ordinal).alias("ordinal"), *[F.col(c) for c in terms.columns if c != ordinal])
-    table = words.agg(F.array_sort(F.collect_list(entry)).alias("__terms"))
-    hits = one.join(F.broadcast(table)).select("__t", F.filter("__terms", lambda e: F.instr(F.lower("__t"), F.lower(e[term])) > 0).alias("matches"))
+    shape = ",".join(["ordinal:bigint"] + [f"{n}:string" for n in names])
+    hits = one.mapInArrow(run, f"__t string, matches array<struct<{shape}>>")
     return texts.join(hits, F.col(text) == F.col("__t"), "left").drop("__t")
 
 
@@ -157,8 +189,11 @@ def merged_edges(rows: DataFrame, keys: Sequence[str], unions: Sequence[str], ma
     """One row per key: arrays united, sorted and distinct; greatest scores; first non-blank by order.
 
     Array elements are exploded into (key, element) pairs and made distinct before they are gathered,
-    so that a hot key gathers its distinct values only.
+    so that a hot key gathers its distinct values only. Each array is its own pass, so the rows are
+    written once when there are several.
     """
+    if len(unions) > 1:
+        rows = materialize(rows.select(*dict.fromkeys([*keys, *unions, *maxima, *firsts, *order])), "edges")
     united = [
         rows.select(*keys, F.explode(F.col(u)).alias("v")).where("v is not null and v <> ''").distinct().groupBy(*keys).agg(F.array_sort(F.collect_list("v")).alias(u)) for u in unions
     ]

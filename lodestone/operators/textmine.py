@@ -6,6 +6,7 @@ over distinct texts; everything after it (which sentence, which trigger, which r
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -43,34 +44,28 @@ EXACT_SCORE, SYNONYM_SCORE = 1.0, 0.9
 
 def folded(text: str) -> str:
     """The matching form of a term: see scalars.normalize_text."""
-    import re
-
     bare = re.sub(r"<[^>]*>", " ", text.lower()).replace("'s", " ")
     return " ".join(re.sub(r"[^a-z0-9]+", " ", bare).split())
 
 
+_TOKENS = re.compile(r"<[^>]*>|(?:'[sS])*((?:[A-Za-z0-9\u212a]+(?:'[sS])*)+)|'[sS]")
+
+
 def tokens_with_offsets(text: str) -> list[tuple[str, int, int]]:
-    """Words of the matching form with their range in the text; markup and `'s` break words or vanish.
+    """Words of the matching form with their range in the text; markup breaks words.
 
     A possessive `'s` vanishes without ending the word, so that a word may span it.
     """
     out: list[tuple[str, int, int]] = []
-    word, start, last, i, n = "", 0, 0, 0, len(text)
-    while i <= n:
-        c = text[i] if i < n else " "
-        if c == "'" and i + 1 < n and text[i + 1] in "sS":
-            i += 2
-            continue
-        low = c.lower()
-        if len(low) == 1 and low.isascii() and low.isalnum():
-            if not word:
-                start = i
-            word, last = word + low, i + 1
-        elif word:
-            out.append((word, start, last))
-            word = ""
-        close = text.find(">", i + 1) if c == "<" and i < n else -1
-        i = close + 1 if close >= 0 else i + 1
+    for m in _TOKENS.finditer(text):
+        if (word := m[1]) is not None:
+            start, end = m.span(1)
+            if "'" in word:
+                bare = word
+                while bare[-2:] in ("'s", "'S"):
+                    bare, end = bare[:-2], end - 2
+                word = bare.replace("'s", "").replace("'S", "")
+            out.append((word.lower(), start, end))
     return out
 
 
@@ -162,8 +157,6 @@ def mined_with_cache(texts: DataFrame, text: str, miner: Callable[[str], list[di
 
 def regex_mentions(normalized: Column, terms: Sequence[str]) -> Column:
     """Terms found in normalised text as an array, without Python: longest first, whole words."""
-    import re
-
     alternatives = "|".join(re.escape(t) for t in sorted({folded(t) for t in terms} - {""}, key=lambda t: (-len(t), t)))
     return F.regexp_extract_all(normalized, F.lit(rf"\b(?:{alternatives})\b"), F.lit(0))
 
@@ -188,8 +181,6 @@ class ModelMiner:
 
     def windows(self, text: str) -> Iterator[tuple[int, str]]:
         """(offset, piece): whole sentences packed up to the budget, sentences over it cut between words."""
-        import re
-
         start = end = words = 0
         for m in re.finditer(r"[^.!?;]*(?:[.!?;]+(?:\s+|\Z)|[.!?;](?=\S)|\Z)", text, re.S):
             if not m[0]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import scalars as S
 from lodestone.operators import relational as R
 from lodestone.operators import textmine as T
+from lodestone.runtime import materialize
 from lodestone.schemas import APPROVED, CONTRAINDICATIONS, OBSERVED, conform
 
 PRIMARY_SOURCE, LABEL_SOURCE, REPORT_SOURCE = "infores:own-approvals", "infores:labels", "infores:reports"
@@ -80,7 +81,7 @@ def case_candidates(cases: DataFrame, terms: DataFrame, quarter_urls: DataFrame
     if quarter_urls is not None:
         rows = rows.join(quarter_urls.select("quarter", F.col("url").alias("known")), "quarter", "left")
         url = F.when((F.col("quarter") != "") & (F.col("primaryid") != ""), F.coalesce("known", S.quarter_url(F.col("quarter"))))
-    rows = rows.select("*", F.array("record").alias("records"), F.array(url).alias("urls"))
+    rows = materialize(rows.select("*", F.array("record").alias("records"), F.array(url).alias("urls")), "candidates")
     one = R.merged_edges(rows, ["norm", "object_text"], ["records", "urls"])
     lead = rows.groupBy("norm", "object_text").agg(R.first_by(F.col("subject"), F.col("primaryid"), F.col("seq"), F.col("record"), F.col("subject")).alias("fallback"))
     return _dictionary_object(one.join(lead, ["norm", "object_text"]), "object_text", terms).drop("matches", "object_term")
@@ -114,15 +115,18 @@ def corroborated(candidates: DataFrame, evidence: LabelEvidence, terms: DataFram
     else:
         hits = hits.withColumn("said", F.array().cast("array<string>"))
     labels = evidence.approvals.select("norm", "spl_set_id").distinct()
+    hits = hits.withColumn("terms", F.transform("matches", lambda x: F.struct(F.coalesce(x["curie"], F.lit("")).alias("curie"), S.normalize_text(x["term"]).alias("norm")))).drop("matches")
+    hits = hits.withColumn("docs_text", F.concat(F.lit(" "), "norm_text", F.lit(" "))).groupBy("spl_set_id", "docs_text", "terms", "said").agg(F.collect_set("doc_id").alias("doc_ids"))
+    asked = candidates.select("norm", "object_text", "object_curie", S.normalize_text(F.col("object_text")).alias("needle")).where("needle <> ''")
     # reached by the number and the label, never by comparing all texts with all conditions
-    met = candidates.select("norm", "object_text", "object_curie").join(labels, "norm").join(hits.select("spl_set_id", "doc_id", "matches", "norm_text", "said"), "spl_set_id")
-    needle = S.normalize_text(F.col("object_text"))
-    both = lambda x: (F.col("object_curie") != "") & (F.coalesce(x["curie"], F.lit("")) != "")
-    by_term = F.exists("matches", lambda x: F.when(both(x), x["curie"] == F.col("object_curie")).otherwise(S.normalize_text(x["term"]) == needle))
+    met = asked.join(labels, "norm").join(hits, "spl_set_id")
+    needle = F.col("needle")
+    by_curie = (F.col("object_curie") != "") & F.array_contains(F.transform("terms", lambda x: x["curie"]), F.col("object_curie"))
+    by_term = F.exists("terms", lambda x: (x["norm"] == needle) & ((F.col("object_curie") == "") | (x["curie"] == "")))
+    verbatim = F.instr(F.col("docs_text"), F.concat(F.lit(" "), needle, F.lit(" "))) > 0
     by_mention = F.exists("said", lambda m: S.contains_words(needle, m))
-    named = (needle != "") & (by_term | S.contains_words(F.col("norm_text"), needle) | by_mention)
-    per = met.groupBy("norm", "object_text", "spl_set_id").agg(F.bool_or(named).alias("named"), F.collect_set("doc_id").alias("docs"))
-    return per.where("named").drop("named")
+    named = verbatim | by_curie | by_term | by_mention
+    return met.where(named).groupBy("norm", "object_text", "spl_set_id").agg(F.array_distinct(F.flatten(F.collect_set("doc_ids"))).alias("docs"))
 
 
 def _provenance(c: DataFrame) -> DataFrame:
@@ -191,6 +195,7 @@ def observed_uses(cases: DataFrame, terms: DataFrame, approved: DataFrame | None
         rows = rows.join(quarter_urls.select("quarter", F.col("url").alias("known")), "quarter", "left")
         url = F.coalesce("known", url)
     rows = rows.withColumn("url", F.when((F.col("quarter") != "") & (F.col("primaryid") != ""), url)).withColumn("norm", S.application_key(F.col("raw")))
+    rows = materialize(rows, "observed")
     # distinct by pre-aggregation: ids first, so that no group gathers its rows
     ids = rows.groupBy(*pair, "primaryid").agg(F.count(F.lit(1)).alias("n"))
     counts = ids.groupBy(*pair).agg((F.count_if(F.col("primaryid") != "") + F.sum(F.when(F.col("primaryid") == "", F.col("n")).otherwise(0))).alias("case_count"))

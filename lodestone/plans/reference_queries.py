@@ -11,7 +11,7 @@ from lodestone.operators import relational as R
 from lodestone.operators import textmine as T
 from lodestone.plans import assertions, exports
 from lodestone.queries import query
-from lodestone.runtime import table
+from lodestone.runtime import materialize, table
 from lodestone.schemas import CASES
 
 # SQL pieces: Unicode white space as a class, stripping, the normal forms
@@ -324,7 +324,7 @@ def edge_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""SELECT doc_id FROM (SELECT doc_id, row_number() OVER (PARTITION BY lang, lower({_collapse('text')}) ORDER BY source NULLS FIRST, doc_id) AS r FROM documents) WHERE r = 1""")
 def dedupe_sort_winner(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", S.dedupe_key(F.col("text")).alias("k"))
-    return R.keep_first(d, ["lang", "k"], [F.col("source").asc_nulls_first(), "doc_id"]).select("doc_id")
+    return R.keep_first(d, ["lang", "k"], ["source", "doc_id"]).select("doc_id")
 
 
 @query("""SELECT l.lang, s.source, count(d.doc_id) AS n FROM (SELECT DISTINCT lang FROM documents WHERE lang IS NOT NULL) l CROSS JOIN (SELECT DISTINCT source FROM documents WHERE source IS NOT NULL) s LEFT JOIN documents d ON d.lang = l.lang AND d.source = s.source GROUP BY ALL""")
@@ -446,7 +446,7 @@ def observed_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _evidence(spark: SparkSession, sf_dir: str) -> assertions.LabelEvidence:
     """Label evidence from the nested label records, by the flat tables of problem 2."""
     records = table(spark, sf_dir, "label_records")
-    tables = nested.flat_tables(nested.emit_objects(records))
+    tables = nested.flat_tables(materialize(nested.emit_objects(records), "objects"))
     sets = records.select("record_id", "spl_set_id")
     approvals = tables["approvals"].join(sets, "record_id").select("spl_set_id", F.col("approval_id"), F.col("code").alias("approval_code"), F.lit("").alias("approval_type"))
     ingredients = tables["ingredients"].join(sets, "record_id").select("spl_set_id", F.col("name").alias("ingredient_name"), F.col("unii").alias("ingredient_unii"), "role")

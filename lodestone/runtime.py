@@ -43,3 +43,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     The count stops after max_rows + 1 rows, so the check itself is bounded.
     """
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer partitions than cores, dealt out over the cores before a costly Python step.
+
+    Larger scans stay as they are and are not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

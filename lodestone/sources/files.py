@@ -128,7 +128,7 @@ def parse_delimited(lines: DataFrame, sep: str = "$") -> DataFrame:
     There is no quoting. Cells beyond the header are dropped, missing ones absent; columns without a
     name (a trailing separator) go. The first line of each file is its header.
     """
-    cut = lambda c: F.transform(F.split(c, re.escape(sep), -1), lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", ""))
+    cut = lambda c: F.transform(F.split(c, re.escape(sep), -1), S.stripped)
     head = lines.where("row_no = 0").select("path", "name", F.transform(cut("line"), lambda x: F.lower(x)).alias("head"))
     # a file name repeats as often as it has lines, headers are few: join on the pair, AQE picks the side
     body = lines.where("row_no > 0").select("path", "name", "row_no", cut("line").alias("cells")).join(head, ["path", "name"])
@@ -174,7 +174,7 @@ def delimited_files(spark: SparkSession, path: str, sep: str = "$") -> DataFrame
     """Plain delimited files that share a header, read by Spark in splits: all strings, trimmed, names in lower case."""
     df = spark.read.csv(path, sep=sep, header=True, quote="", inferSchema=False, mode="PERMISSIVE", enforceSchema=False)
     keep = [c for c in df.columns if c.strip() and not re.fullmatch(r"_c\d+", c)]
-    return df.select(*[F.regexp_replace(F.col(f"`{c}`"), r"(?U)^\s+|\s+$", "").alias(c.strip().lower()) for c in keep], F.col("_metadata.file_name").alias("source_file"))
+    return df.select(*[S.stripped(F.col(f"`{c}`")).alias(c.strip().lower()) for c in keep], F.col("_metadata.file_name").alias("source_file"))
 
 
 def fold_name(name: str) -> str:
