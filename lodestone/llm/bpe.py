@@ -18,6 +18,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.runtime import spread
+
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 # Fixed value: the published pattern that splits text before the merges.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -154,4 +156,4 @@ def encode_corpus(documents: DataFrame, doc_id: str = "doc_id", text: str = "tex
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     source = documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return source.mapInArrow(run, f"doc_id {kind.simpleString()}, ids array<int>")
+    return spread(source).mapInArrow(run, f"doc_id {kind.simpleString()}, ids array<int>")

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.runtime import broadcast_if_small
+from lodestone.runtime import broadcast_if_small, spread
 
 K, WINDOW = 3, 2  # every shared span of 4 words is seen; 12 words with 2 changes always hold one
 PASSAGE, REACH, MATCHED = 12, 18, 9
@@ -98,7 +98,7 @@ def _prints(rows: DataFrame, key: str, text: str, k: int, window: int) -> DataFr
             found = [fingerprints(words_of(t), k, window) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([f[0] for f in found], pa.list_(pa.int64())), pa.array([f[1] for f in found], pa.list_(pa.int32()))], names=["key", "hashes", "at"])
 
-    out = rows.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, hashes array<bigint>, at array<int>")
+    out = spread(rows.select(F.col(key).alias("key"), F.col(text).alias("text"))).mapInArrow(run, f"key {kind}, hashes array<bigint>, at array<int>")
     return out.select("key", F.explode(F.arrays_zip("hashes", "at")).alias("f")).select("key", F.col("f.hashes").alias("hash"), F.col("f.at").alias("pos"))
 
 
