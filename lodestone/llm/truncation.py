@@ -15,7 +15,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.runtime import materialize
+from lodestone.runtime import materialize, spread
 
 # What may end a sentence, what may close it, and pairs that must be closed.
 TERMINATORS = ".!?。！？؟।։။።᠃⸮‽"
@@ -104,14 +104,14 @@ def end_features(documents: DataFrame, doc_id: str = "doc_id", text: str = "text
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *[pa.array(list(c), t) for c, t in zip(cols, types)]], names=names)
 
     rows = documents.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {kind}, source string, {SCHEMA}")
+    return spread(rows).mapInArrow(run, f"doc_id {kind}, source string, {SCHEMA}")
 
 
 def judged(documents: DataFrame, usual: float = 0.5, spike: float = 0.02, **names: str) -> DataFrame:
     """Every row with `cut` (boolean), its evidence and its source's limit, if the source has one.
 
-    A source's limit is a length in characters or bytes that at least the share `spike` (and five) of
-    its texts have, more than half of them without a terminator. Where at least the share `usual` of
+    A source's limit is the length in characters or bytes of its longest texts, if at least the share
+    `spike` of its texts (and five) have it, more than half of them without a terminator. Where at least the share `usual` of
     a source's texts have no terminator, a missing one counts only with an open bracket or quote, a
     broken end, an omission mark or the limit's length. Null, empty and placeholder texts and texts
     closed by a revision, reference, page or end mark are whole. A null source is a source of its own.
@@ -121,9 +121,10 @@ def judged(documents: DataFrame, usual: float = 0.5, spike: float = 0.02, **name
     base = f.groupBy("source_key").agg(F.avg(F.when(~F.col("placeholder"), open_end.cast("double"))).alias("share"), F.count(F.lit(1)).alias("texts"))
     lengths = f.where(~F.col("placeholder")).select("source_key", F.explode(F.array(F.struct(F.lit("chars").alias("unit"), F.col("chars").alias("size")), F.struct(F.lit("bytes").alias("unit"), F.col("bytes").alias("size")))).alias("l"), open_end.alias("open"))
     per = lengths.groupBy("source_key", "l").agg(F.count(F.lit(1)).alias("n"), F.count_if("open").alias("n_open"))
-    limit = per.groupBy("source_key").agg(F.max(F.struct("n", "l")).alias("top"), F.max_by("n_open", F.struct("n", "l")).alias("top_open"))
+    longest = per.groupBy("source_key", "l.unit").agg(F.max(F.struct("l.size", "n", "n_open")).alias("m")).select("source_key", "m.n", "m.n_open", F.struct("unit", "m.size").alias("l"))
+    limit = longest.groupBy("source_key").agg(F.max(F.struct("n", "n_open", "l")).alias("top"))
     sources = base.join(limit, "source_key", "left").select(
-        "source_key", "share", F.when((F.col("top.n") >= 5) & (F.col("top.n") >= F.lit(spike) * F.col("texts")) & (F.col("top_open") * 2 > F.col("top.n")), F.col("top.l")).alias("limit")
+        "source_key", "share", F.when((F.col("top.n") >= 5) & (F.col("top.n") >= F.lit(spike) * F.col("texts")) & (F.col("top.n_open") * 2 > F.col("top.n")), F.col("top.l")).alias("limit")
     )
     at_limit = F.coalesce(F.when(F.col("limit.unit") == "chars", F.col("chars") == F.col("limit.size")).otherwise(F.col("bytes") == F.col("limit.size")), F.lit(False))
     strong = F.col("unclosed") | F.col("broken") | F.col("omission") | at_limit
