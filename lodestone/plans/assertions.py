@@ -38,14 +38,15 @@ def label_evidence(approvals: DataFrame, ingredients: DataFrame, sections: DataF
     """Evidence from the flat label tables; blank keys go, texts prefer the cleaned form.
 
     An approval shows as type and number. An ingredient counts once per label, name (any case) and
-    code; a label is single if it has one such ingredient.
+    code, under the name at the first place (ordinal, at) if the table has places; a label is single
+    if it has one such ingredient.
     """
     norm = S.application_key(F.coalesce(F.nullif(S.stripped(F.col("approval_id")), F.lit("")), F.col("approval_code")))
     base = F.coalesce(F.nullif(S.stripped(F.col("approval_id")), F.lit("")), S.stripped(F.col("approval_code")))
     a = approvals.select(norm.alias("norm"), S.stripped(F.col("spl_set_id")).alias("spl_set_id"), F.when(base != "", F.concat(S.stripped(F.col("approval_type")), base)).alias("display"))
     a = a.where("norm <> '' and spl_set_id <> ''").withColumn("display", F.coalesce("display", "norm")).distinct()
-    i = ingredients.where(F.lower(S.stripped(F.col("role"))) == "active").select(S.stripped(F.col("spl_set_id")).alias("spl_set_id"), S.stripped(F.col("ingredient_name")).alias("name"), S.stripped(F.col("ingredient_unii")).alias("unii"))
-    i = i.where("spl_set_id <> '' and name <> ''").groupBy("spl_set_id", F.lower("name").alias("fold"), "unii").agg(F.min("name").alias("name")).drop("fold")
+    i = ingredients.where(F.lower(S.stripped(F.col("role"))) == "active").select(S.stripped(F.col("spl_set_id")).alias("spl_set_id"), S.stripped(F.col("ingredient_name")).alias("name"), S.stripped(F.col("ingredient_unii")).alias("unii"), F.struct(*[F.col(c) for c in ("ordinal", "at") if c in ingredients.columns], F.col("ingredient_name")).alias("place"))
+    i = i.where("spl_set_id <> '' and name <> ''").groupBy("spl_set_id", F.lower("name").alias("fold"), "unii").agg(F.min_by("name", "place").alias("name")).drop("fold")
     count = i.groupBy("spl_set_id").agg(F.count(F.lit(1)).alias("n"))
     singles = i.join(count.where("n = 1"), "spl_set_id").drop("n")
     own = F.coalesce(F.nullif(S.stripped(F.col("clean_text")), F.lit("")), S.stripped(F.col("raw_text")))

@@ -41,8 +41,22 @@ SUBMISSION_ALIASES = {
 }
 
 
-def files(spark: SparkSession, path: str, pattern: str | None = None) -> DataFrame:
-    """`(path, name, content)` of the files under a path."""
+def empty_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the files without a byte, which Spark's scan passes over; lists the folder on the driver."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found, at = [], root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(root, True)
+    while at.hasNext():
+        status = at.next()
+        if status.getLen() == 0 and not status.getPath().getName().startswith(("_", ".")):
+            found.append(status.getPath().toString())
+    return found
+
+
+def files(spark: SparkSession, path: str, pattern: str | None = None, with_empty: bool = False) -> DataFrame:
+    """`(path, name, content)` of the files under a path, those without content only if asked for."""
+    if with_empty:
+        none = spark.createDataFrame([(p, p.rpartition("/")[2], b"") for p in empty_files(spark, path)], FILE)
+        return files(spark, path, pattern).unionByName(none)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
