@@ -9,12 +9,13 @@ over changed, missing and added words, and a passage that is long enough makes a
 from __future__ import annotations
 
 import html
+import re
+import sys
 import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +27,46 @@ PASSAGE, REACH, MATCHED = 12, 18, 9
 BROADCAST_ROWS = 400_000  # fingerprints of the held-out side, some 20 MB
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = str.maketrans("аеорсухіјѕԁһԛԝкмтвнαοερικνυτ", "aeopcyxijsdhqwkmtbnaoepiknut")
-TAGS = regex.compile(r"</?[A-Za-z][^<>]{0,200}>|<!--.*?-->", regex.S)
-UNSEEN = regex.compile(r"[\p{Cf}\p{Mn}\p{Me}]|(?<=\p{L})[-‐‑](?:\s*[\r\n]\s*)?(?=\p{L})")
-WORDS = regex.compile(r"[\p{L}\p{N}]+")
+TAGS = re.compile(r"</?[A-Za-z][^<>]{0,200}>|<!--.*?-->", re.S)
+INLINE = ("b", "i", "u", "em", "s")
+HYPHENS = re.compile(r"[-‐‑](?<=[^\W\d_].)(?:\s*[\r\n]\s*)?(?=[^\W\d_])")
+WORDS = re.compile(r"[^\W_]+")
+KEPT_WORDS = 500_000
+
+
+def _class_of(*categories: str) -> str:
+    """A character class of all characters of some Unicode categories, as ranges."""
+    own, out = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in categories], []
+    for c in own:
+        if out and out[-1][1] == c - 1:
+            out[-1][1] = c
+        else:
+            out.append([c, c])
+    return "[" + "".join(f"\\U{a:08x}-\\U{z:08x}" for a, z in out) + "]+"
+
+
+# combining marks and format characters (soft hyphens, zero-width blanks) vanish
+UNSEEN = re.compile(_class_of("Cf", "Mn", "Me"))
+OTHER_SCRIPTS = re.compile("[\u0370-\u052f]")
+
+
+class _Hashes(dict):
+    """64-bit hashes of words, the same on every worker; frequent words are looked up."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > KEPT_WORDS:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+_hashes = _Hashes()
+
+
+def _tag(m: re.Match) -> str:
+    """Closing and inline tags vanish within a word, others break it."""
+    name = m[0].strip("</>!- ").split(" ", 1)[0].lower()
+    return "" if m[0][1] == "/" or name in INLINE else " "
 
 
 def words_of(text: str | None) -> list[str]:
@@ -38,13 +76,13 @@ def words_of(text: str | None) -> list[str]:
     if "&" in text:
         text = html.unescape(text)
     if "<" in text:
-        text = TAGS.sub(lambda m: "" if m[0][1:2].isalpha() and m[0][1:3].rstrip(">").lower() in ("b", "i", "u", "em", "s") or m[0][1] == "/" else " ", text)
-    if not text.isascii():
-        text = unicodedata.normalize("NFKD", text)
-    text = UNSEEN.sub("", text).casefold()
-    if not text.isascii():
+        text = TAGS.sub(_tag, text)
+    if text.isascii():
+        return WORDS.findall(HYPHENS.sub("", text).lower())
+    text = UNSEEN.sub("", unicodedata.normalize("NFKD", text)).casefold()
+    if OTHER_SCRIPTS.search(text):
         text = text.translate(LOOKALIKES)
-    return WORDS.findall(text)
+    return WORDS.findall(HYPHENS.sub("", text))
 
 
 def fingerprints(words: list[str], k: int = K, window: int = WINDOW) -> tuple[list[int], list[int]]:
@@ -52,7 +90,14 @@ def fingerprints(words: list[str], k: int = K, window: int = WINDOW) -> tuple[li
     n = len(words) - k + 1
     if n <= 0:
         return [], []
-    h = np.fromiter((xxhash.xxh3_64_intdigest("\x1f".join(words[i : i + k])) >> 1 for i in range(n)), np.int64, n)
+    each = np.array([_hashes[w] for w in words], np.uint64)
+    mixed = np.zeros(n, np.uint64)
+    for i in range(k):  # a polynomial in the word hashes, then a finaliser so that least values are spread
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + each[i : i + n]
+    mixed ^= mixed >> np.uint64(31)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(29)
+    h = (mixed >> np.uint64(1)).astype(np.int64)
     if n <= window:
         at = np.array([n - 1 - int(np.argmin(h[::-1]))])
     else:
@@ -62,10 +107,12 @@ def fingerprints(words: list[str], k: int = K, window: int = WINDOW) -> tuple[li
 
 
 def extended(doc: list[str], item: list[str], dpos: int, ipos: int, k: int = K) -> int:
-    """Matched words of the best passage around a hit: local alignment, an edit costs three matches."""
+    """Matched words of the best passage around a hit, 0 if under MATCHED: local alignment, an edit costs three matches."""
     d0, i0 = max(0, dpos - REACH), max(0, ipos - REACH)
     d, it = doc[d0 : dpos + k + REACH], item[i0 : ipos + k + REACH]
-    if len(set(d) & set(it)) < MATCHED - 3:
+    common = set(d) & set(it)
+    # a passage keeps MATCHED words, so windows with fewer in common hold none
+    if len(common) < MATCHED and sum(min(d.count(w), it.count(w)) for w in common) < MATCHED:
         return 0
     width = len(it) + 1
     score, count = [0] * width, [0] * width
