@@ -39,12 +39,16 @@ def canonical_value(json_text: Column) -> Column:
     return F.coalesce(flag, F.array_join(F.sort_array(F.transform(plain, lambda w: F.rtrim(w, F.lit(".")))), " "))
 
 
-def _cells(feed: DataFrame, payload: str) -> Column:
-    """The row's fields as array<struct<field, kind, value, text>> (null for a row that is no object)."""
+def _fields(payload: str) -> Column:
+    """The row's fields as map entries of variants (null for a row that is no object)."""
     v = F.try_parse_json(F.col(payload))
-    whole = F.when(F.schema_of_variant(v).startswith("OBJECT"), v).cast("map<string,variant>")
+    return F.map_entries(F.when(F.schema_of_variant(v).startswith("OBJECT"), v).cast("map<string,variant>"))
+
+
+def _cells(payload: str) -> Column:
+    """The row's fields as array<struct<field, kind, value, text>> (null for a row that is no object)."""
     return F.transform(
-        F.map_entries(whole),
+        _fields(payload),
         lambda e: F.struct(e["key"].alias("field"), _kind(e["value"]).alias("kind"), canonical_value(F.to_json(e["value"])).alias("value"), F.to_json(e["value"]).alias("text")),
     )
 
@@ -56,7 +60,8 @@ def file_schemas(feed: DataFrame, feed_id: str = "feed_id", file_id: str = "file
     equally frequent kinds the first by name; null if all values are null). Files without any
     readable object have an empty array.
     """
-    rows = feed.select(F.col(feed_id).alias("feed_id"), F.col(file_id).alias("file_id"), F.col(delivered_at).alias("delivered_at"), _cells(feed, payload).alias("cells"))
+    kinds = F.transform(_fields(payload), lambda e: F.struct(e["key"].alias("field"), _kind(e["value"]).alias("kind")))
+    rows = feed.select(F.col(feed_id).alias("feed_id"), F.col(file_id).alias("file_id"), F.col(delivered_at).alias("delivered_at"), kinds.alias("cells"))
     cells = rows.select("feed_id", "file_id", "delivered_at", F.explode_outer("cells").alias("c"))
     per = cells.groupBy("feed_id", "file_id", F.col("c.field").alias("field"), F.col("c.kind").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.min("delivered_at").alias("delivered_at"))
     best = per.groupBy("feed_id", "file_id", "field").agg(F.min("delivered_at").alias("delivered_at"), F.min(F.when(F.col("kind").isNotNull(), F.struct(-F.col("n"), "kind"))).alias("k"))
@@ -85,8 +90,9 @@ def _renames(feed: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
         F.col("feed_id").alias("pair_feed"), F.col("file_id").alias("pair"), F.col(file).alias("of_file"), F.lit(name).alias("side"), "steady", F.col(side).alias("looked")
     )
     roles = role("old_file", "old", "gone").unionByName(role("file_id", "new", "come"))
-    rows = feed.select("file_id", "feed_id", _cells(feed, "payload").alias("cells"))
-    met = rows.join(roles, (rows["file_id"] == roles["of_file"]) & (rows["feed_id"] == roles["pair_feed"]))
+    # values are only read of the files that take part
+    own = (F.col("file_id") == F.col("of_file")) & (F.col("feed_id") == F.col("pair_feed"))
+    met = feed.select("file_id", "feed_id", "payload").join(roles, own).withColumn("cells", _cells("payload")).drop("payload")
     solid = F.filter("cells", lambda c: c["kind"].isNotNull())
     stay = F.sort_array(F.transform(F.filter(solid, lambda c: F.array_contains("steady", c["field"])), lambda c: F.to_json(F.struct(c["field"], c["value"]))))
     seen = F.sort_array(F.transform(F.filter(solid, lambda c: F.array_contains("looked", c["field"])), lambda c: F.struct(c["field"].alias("field"), c["kind"].alias("kind"), c["value"].alias("value"))))
@@ -158,7 +164,7 @@ def unified(feed: DataFrame, canonical: dict[str, str], feed_id: str = "feed_id"
     canonical form that is comparable across kinds. A field that is missing or null gives a null
     struct. Where several names of one column occur in a row, the first non-null by name counts.
     """
-    rows = feed.select(F.col(feed_id).alias("feed_id"), F.col(file_id).alias("file_id"), F.col(row_no).alias("row_no"), _cells(feed, payload).alias("cells"))
+    rows = feed.select(F.col(feed_id).alias("feed_id"), F.col(file_id).alias("file_id"), F.col(row_no).alias("row_no"), _cells(payload).alias("cells"))
     plain = lambda c: F.regexp_replace(F.lower(c["field"]), "_", "")
     columns = []
     for column in dict.fromkeys(canonical.values()):
