@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.runtime import materialize
+
 
 def canonical_id(col: Column) -> Column:
     """The id without white space around it and with the part before the first colon in capitals.
@@ -75,7 +77,8 @@ def orphan_references(
     refs = children.select(F.col(child_id).alias("id"), F.col(child_time).alias("at"), endpoint.alias("r"))
     refs = refs.select("id", "at", "r.*").where(F.col("key").isNotNull())
     alive = parents.select(canonical_id(F.col(parent_id)).alias("key"), F.col(arrived).alias("arrived"), F.col(deleted).alias("deleted")).where(F.col("key").isNotNull())
-    wanted = refs.select("key", "at").distinct()
+    # three branches read the distinct references, so they are written once
+    wanted = materialize(refs.select("key", "at").distinct(), "references")
     keys = alive.select("key").distinct()
     missing = wanted.join(keys, "key", "left_anti").select("key", "at", F.lit("missing").alias("reason"))
     there = _alive(wanted.where(F.col("at").isNotNull()).join(keys, "key", "left_semi"), alive)
