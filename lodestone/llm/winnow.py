@@ -34,19 +34,14 @@ WORDS = re.compile(r"[^\W_]+")
 KEPT_WORDS = 500_000
 
 
-def _class_of(*categories: str) -> str:
-    """A character class of all characters of some Unicode categories, as ranges."""
-    own, out = [c for c in range(sys.maxunicode + 1) if unicodedata.category(chr(c)) in categories], []
-    for c in own:
-        if out and out[-1][1] == c - 1:
-            out[-1][1] = c
-        else:
-            out.append([c, c])
-    return "[" + "".join(f"\\U{a:08x}-\\U{z:08x}" for a, z in out) + "]+"
+# combining marks and format characters (soft hyphens, zero-width blanks) vanish
+BEYOND_ASCII = re.compile(r"[^\x00-\x7f]+")
+
+
+def _seen(m: re.Match) -> str:
+    return "".join([c for c in m[0] if unicodedata.category(c) not in ("Mn", "Cf", "Me")])
 
 
-# combining marks and format characters (soft hyphens, zero-width blanks) vanish
-UNSEEN = re.compile(_class_of("Cf", "Mn", "Me"))
 OTHER_SCRIPTS = re.compile("[\u0370-\u052f]")
 
 
@@ -79,7 +74,7 @@ def words_of(text: str | None) -> list[str]:
         text = TAGS.sub(_tag, text)
     if text.isascii():
         return WORDS.findall(HYPHENS.sub("", text).lower())
-    text = UNSEEN.sub("", unicodedata.normalize("NFKD", text)).casefold()
+    text = BEYOND_ASCII.sub(_seen, unicodedata.normalize("NFKD", text)).casefold()
     if OTHER_SCRIPTS.search(text):
         text = text.translate(LOOKALIKES)
     return WORDS.findall(HYPHENS.sub("", text))
@@ -98,11 +93,12 @@ def fingerprints(words: list[str], k: int = K, window: int = WINDOW) -> tuple[li
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(29)
     h = (mixed >> np.uint64(1)).astype(np.int64)
-    if n <= window:
-        at = np.array([n - 1 - int(np.argmin(h[::-1]))])
-    else:
-        views = np.lib.stride_tricks.sliding_window_view(h, window)
-        at = np.unique(np.arange(n - window + 1) + window - 1 - np.argmin(views[:, ::-1], axis=1))
+    places = max(1, n - window + 1)
+    least, at = h[:places], np.arange(places)
+    for j in range(1, min(window, n)):
+        other = h[j : j + places]
+        least, at = np.where(other <= least, other, least), np.where(other <= least, np.arange(j, j + places), at)
+    at = at[np.concatenate(([True], at[1:] != at[:-1]))]
     return h[at].tolist(), at.tolist()
 
 
