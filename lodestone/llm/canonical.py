@@ -111,7 +111,7 @@ def canonical_values(values: DataFrame, entries: DataFrame, value: str = "indica
           SELECT t, w, min(cost) AS cost FROM (SELECT t, w, CAST(edits AS DOUBLE) AS cost FROM {near} UNION ALL SELECT * FROM {begun}) GROUP BY t, w) GROUP BY t""",
         near=near, begun=begun,
     )
-    candidates = spark.sql("SELECT t, filter(c, e -> e.cost < c[0].cost + 1) AS c FROM {c}", c=candidates)
+    candidates = spark.sql("SELECT t, filter(c, e -> e.cost < c[0].cost + 2) AS c FROM {c}", c=candidates)
     resolved = spark.sql(
         """SELECT x, collect_list(coalesce(c, CASE WHEN v.w IS NOT NULL THEN array(struct(0D AS cost, t AS w)) END, array())) AS cs
         FROM (SELECT x, explode(ws) AS t FROM {spelt} WHERE size(ws) <= 12) q LEFT JOIN {v} v ON q.t = v.w LEFT JOIN {c} c USING (t) GROUP BY x""",
