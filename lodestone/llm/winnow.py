@@ -24,6 +24,7 @@ from lodestone.runtime import broadcast_if_small, spread
 
 K, WINDOW = 3, 2  # every shared span of 4 words is seen; 12 words with 2 changes always hold one
 PASSAGE, REACH, MATCHED = 12, 18, 9
+DENSITY = 3  # kept words for each edit of a passage, at least
 BROADCAST_ROWS = 400_000  # fingerprints of the held-out side, some 20 MB
 # Letters of other scripts that look like Latin ones.
 LOOKALIKES = str.maketrans("аеорсухіјѕԁһԛԝкмтвнαοερικνυτ", "aeopcyxijsdhqwkmtbnaoepiknut")
@@ -102,34 +103,58 @@ def fingerprints(words: list[str], k: int = K, window: int = WINDOW) -> tuple[li
     return h[at].tolist(), at.tolist()
 
 
-def extended(doc: list[str], item: list[str], dpos: int, ipos: int, k: int = K) -> int:
-    """Matched words of the best passage around a hit, 0 if under MATCHED: local alignment, an edit costs three matches."""
-    d0, i0 = max(0, dpos - REACH), max(0, ipos - REACH)
-    d, it = doc[d0 : dpos + k + REACH], item[i0 : ipos + k + REACH]
-    common = set(d) & set(it)
-    # a passage keeps MATCHED words, so windows with fewer in common hold none
-    if len(common) < MATCHED and sum(min(d.count(w), it.count(w)) for w in common) < MATCHED:
+def _run(doc: list[str], item: list[str], dpos: int, ipos: int) -> tuple[int, int, int]:
+    """Start in the document, start in the item and length of the exactly shared words around a hit."""
+    back, ahead = 0, 0
+    while back < min(dpos, ipos) and doc[dpos - back - 1] == item[ipos - back - 1]:
+        back += 1
+    while dpos + ahead < len(doc) and ipos + ahead < len(item) and doc[dpos + ahead] == item[ipos + ahead]:
+        ahead += 1
+    return dpos - back, ipos - back, back + ahead
+
+
+def _kept(a: list[str], b: list[str], edits: int) -> list[int]:
+    """Most words kept from the front of both, for 0, 1, ... edits (a changed, missing or added word each)."""
+    n, m = len(a), len(b)
+    layer, seen, out = {(0, 0): 0}, {}, []
+    for _ in range(edits + 1):
+        ahead: dict[tuple[int, int], int] = {}
+        best = out[-1] if out else 0
+        for (i, j), kept in layer.items():
+            while i < n and j < m and a[i] == b[j]:  # to keep an equal word is never worse than an edit
+                i, j, kept = i + 1, j + 1, kept + 1
+            if kept <= seen.get((i, j), -1):
+                continue
+            seen[i, j] = kept
+            best = max(best, kept)
+            for at in ((i + 1, j + 1), (i + 1, j), (i, j + 1)):
+                if at[0] <= n and at[1] <= m and kept > ahead.get(at, -1):
+                    ahead[at] = kept
+        out.append(best)
+        layer = ahead
+    return out
+
+
+def extended(doc: list[str], item: list[str], dpos: int, ipos: int) -> int:
+    """Kept words of the best passage through a hit, 0 if under MATCHED.
+
+    The words shared around the hit are extended both ways. Edits may stand anywhere; over the whole
+    passage there is at most one for DENSITY kept words.
+    """
+    d0, i0, run = _run(doc, item, dpos, ipos)
+    d1, i1 = d0 + run, i0 + run
+    left, right = (doc[max(0, d0 - REACH) : d0], item[max(0, i0 - REACH) : i0]), (doc[d1 : d1 + REACH], item[i1 : i1 + REACH])
+    # at most so many words can be kept, and so many edits allowed
+    most = run + sum(sum(min(d.count(w), it.count(w)) for w in set(d) & set(it)) for d, it in (left, right))
+    if most < MATCHED:
         return 0
-    width = len(it) + 1
-    score, count = [0] * width, [0] * width
+    before, after = _kept(left[0][::-1], left[1][::-1], most // DENSITY), _kept(*right, most // DENSITY)
     best = 0
-    for w in d:
-        new_score, new_count = [0] * width, [0] * width
-        for j in range(1, width):
-            if w == it[j - 1]:
-                s, c = score[j - 1] + 1, count[j - 1] + 1
-            else:
-                s, c = score[j - 1] - 3, count[j - 1]
-            if score[j] - 3 > s:
-                s, c = score[j] - 3, count[j]
-            if new_score[j - 1] - 3 > s:
-                s, c = new_score[j - 1] - 3, new_count[j - 1]
-            if s > 0:
-                new_score[j], new_count[j] = s, c
-                if c > best:
-                    best = c
-        score, count = new_score, new_count
-    return best
+    for e, x in enumerate(before):
+        for f, y in enumerate(after[: len(after) - e]):
+            if run + x + y >= DENSITY * (e + f):
+                best = max(best, run + x + y)
+    return best if best >= MATCHED else 0
 
 
 def _prints(rows: DataFrame, key: str, text: str, k: int, window: int) -> DataFrame:
@@ -182,10 +207,10 @@ def leaks(documents: DataFrame, items: DataFrame, doc_id: str = "doc_id", item_i
                         cache[p["item_text"]] = words_of(p["item_text"])
                     item, most, done = cache[p["item_text"]], 0, set()
                     for h in p["at"]:
-                        near = (h["pos"] // 6, h["item_pos"] // 6)  # neighbours extend to the same passage
-                        if near not in done:
-                            done.add(near)
-                            most = max(most, extended(words, item, h["pos"], h["item_pos"]))
+                        start = _run(words, item, h["pos"], h["item_pos"])[:2]  # hits of one run extend to the same passage
+                        if start not in done:
+                            done.add(start)
+                            most = max(most, extended(words, item, *start))
                     if most >= matched:
                         for col, v in zip(out, (doc, p["item_id"], most)):
                             col.append(v)

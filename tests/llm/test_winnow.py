@@ -1,4 +1,5 @@
 import random
+from itertools import combinations
 
 from lodestone.llm.winnow import K, WINDOW, extended, fingerprints, leak_report, leaks, words_of
 
@@ -62,3 +63,23 @@ def test_a_passage_deep_in_a_long_text(spark):
     item = " ".join(f"q{j}" for j in range(14))
     df = spark.createDataFrame([(1, "filler word " * 100_000 + item)], "doc_id bigint, text string")
     assert leaks(df, spark.createDataFrame([(5, item)], "item_id bigint, text string")).first()["item_id"] == 5
+
+
+def test_no_placement_of_edits_loses_a_passage():
+    for n in range(12, 21):
+        item = [f"i{j}" for j in range(n)]
+        for places in combinations(range(1, n - 1), round(n / 8)):
+            for kind in ("changed", "missing", "added"):
+                doc = ["a", "b", "c"]
+                for j, w in enumerate(item):
+                    doc += [w] if j not in places else {"changed": ["new"], "missing": [], "added": ["new", w]}[kind]
+                doc += ["y", "z"]
+                theirs = dict(zip(*fingerprints(item)))
+                hits = [(at, theirs[h]) for h, at in zip(*fingerprints(doc)) if h in theirs]
+                kept = n if kind == "added" else n - len(places)
+                assert max(extended(doc, item, *h) for h in hits) == kept, (n, places, kind)
+
+
+def test_six_shared_words_stay_no_leak_beside_chance_words():
+    item = [f"i{j}" for j in range(30)]
+    assert extended(["x", *item[10:16], "y", item[17], "z", "q", "r", item[20]], item, 1, 10) == 0
