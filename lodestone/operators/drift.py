@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KINDS = ("string", "number", "boolean", "array", "object")
+MAX_PAIRS = 200_000  # pairs of field names that are collected at most
 
 
 def _kind(value: Column) -> Column:
@@ -156,30 +157,75 @@ def schema_changes(feed: DataFrame, feed_id: str = "feed_id", file_id: str = "fi
     return full.select("feed_id", "file_id", F.explode(changes).alias("c")).select("feed_id", "file_id", "c.*")
 
 
+def _plain(name: str) -> str:
+    return name.lower().replace("_", "")
+
+
+def chained(feed: DataFrame, canonical: dict[str, str], **names: str) -> dict[str, str]:
+    """canonical with the further names that the renames of `schema_changes` lead to, over any number of steps.
+
+    A name that is not in canonical gets the column with which most of its renames connect it (of
+    equally frequent ones the first by name), but only if it goes and comes by these renames more
+    often than without one or by renames to other columns. Distinct names and pairs of names are collected, no rows.
+    """
+    changes = schema_changes(feed, **names).where("change <> 'retyped'")
+    found = changes.groupBy("old_field", "new_field").agg(F.count(F.lit(1)).alias("n")).limit(MAX_PAIRS + 1).collect()
+    if len(found) > MAX_PAIRS:
+        raise ValueError(f"more than {MAX_PAIRS} pairs of field names change")
+    pairs = [(_plain(r["old_field"]), _plain(r["new_field"]), r["n"]) for r in found]
+    out = dict(canonical)
+    while True:
+        votes: dict[str, dict[str, int]] = {}
+        for a, b, n in pairs:
+            for name, other in ((a, b), (b, a)):
+                if name and name not in out and other != name:
+                    # a rename between two names without a column says nothing yet
+                    column = out.get(other) if other else ""
+                    if column is not None:
+                        votes.setdefault(name, {}).setdefault(column, 0)
+                        votes[name][column] += n
+        new = {}
+        for name, by in votes.items():
+            column = min((c for c in by if c), key=lambda c: (-by[c], c), default=None)
+            if column and 2 * by[column] > sum(by.values()):
+                new[name] = column
+        if not new:
+            return out
+        out |= new
+
+
 def unified(feed: DataFrame, canonical: dict[str, str], feed_id: str = "feed_id", file_id: str = "file_id", row_no: str = "row_no", payload: str = "payload") -> DataFrame:
-    """All rows in one schema: `(feed_id, file_id, row_no)` and a typed union per canonical field.
+    """All rows in one schema: `(feed_id, file_id, row_no)`, a typed union per canonical field, and `rest`.
 
     canonical maps names (lower case, without `_`) to columns. Each column is a struct: kind (which
     alternative came), text (a string value), number, json (arrays and objects) and value, the
     canonical form that is comparable across kinds. A field that is missing or null gives a null
     struct. Where several names of one column occur in a row, the first non-null by name counts.
+    rest maps the names of all other fields of the row to such structs (null for a null value), those
+    of further non-null names of a column too; it is empty for a row without any. No field is left out.
     """
     rows = feed.select(F.col(feed_id).alias("feed_id"), F.col(file_id).alias("file_id"), F.col(row_no).alias("row_no"), _cells(payload).alias("cells"))
     plain = lambda c: F.regexp_replace(F.lower(c["field"]), "_", "")
+    targets = list(dict.fromkeys(canonical.values()))
     columns = []
-    for column in dict.fromkeys(canonical.values()):
+    for column in targets:
         names = [k for k, v in canonical.items() if v == column]
         own = F.filter("cells", lambda c: plain(c).isin(names) & c["kind"].isNotNull())
         columns.append(F.array_min(own).alias(column))
-    typed = rows.select("feed_id", "file_id", "row_no", *columns)
+    typed = rows.select("feed_id", "file_id", "row_no", "cells", *columns)
     branch = lambda c: F.when(
-        F.col(c).isNotNull(),
+        c["kind"].isNotNull(),
         F.struct(
-            F.col(c)["kind"].alias("kind"),
-            F.when(F.col(c)["kind"] == "string", F.from_json(F.concat(F.lit('{"v":'), F.col(c)["text"], F.lit("}")), "v string")["v"]).alias("text"),
-            F.when(F.col(c)["kind"] == "number", F.col(c)["text"].try_cast("double")).alias("number"),
-            F.when(F.col(c)["kind"].isin("array", "object"), F.col(c)["text"]).alias("json"),
-            F.col(c)["value"].alias("value"),
+            c["kind"].alias("kind"),
+            F.when(c["kind"] == "string", F.from_json(F.concat(F.lit('{"v":'), c["text"], F.lit("}")), "v string")["v"]).alias("text"),
+            F.when(c["kind"] == "number", c["text"].try_cast("double")).alias("number"),
+            F.when(c["kind"].isin("array", "object"), c["text"]).alias("json"),
+            c["value"].alias("value"),
         ),
-    ).alias(c)
-    return typed.select("feed_id", "file_id", "row_no", *[branch(c) for c in dict.fromkeys(canonical.values())])
+    )
+    taken = F.array(*[F.col(c)["field"] for c in targets])
+    nothing = lambda c: c["kind"].isNull() & plain(c).isin(list(canonical))
+    others = F.filter(F.coalesce("cells", F.array().cast(typed.schema["cells"].dataType)), lambda c: ~nothing(c) & ~F.coalesce(F.array_contains(taken, c["field"]), F.lit(False)))
+    rest = F.map_from_entries(F.transform(others, lambda c: F.struct(c["field"], branch(c))))
+    whole = typed.select("feed_id", "file_id", "row_no", *targets, rest.alias("rest"))
+    return whole.select("feed_id", "file_id", "row_no", *[branch(F.col(c)).alias(c) for c in targets], "rest")

@@ -49,12 +49,14 @@ PRODUCT_FIELDS = {
 
 @query()
 def p3_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.unified(table(spark, sf_dir, "feed_rows").where(F.col("file_name").startswith("cases")), CASE_FIELDS)
+    feed = table(spark, sf_dir, "feed_rows").where(F.col("file_name").startswith("cases"))
+    return drift.unified(feed, drift.chained(feed, CASE_FIELDS))
 
 
 @query()
 def p3_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return drift.unified(table(spark, sf_dir, "feed_rows").where(F.col("file_name").startswith("products")), PRODUCT_FIELDS)
+    feed = table(spark, sf_dir, "feed_rows").where(F.col("file_name").startswith("products"))
+    return drift.unified(feed, drift.chained(feed, PRODUCT_FIELDS))
 
 
 @query()

@@ -1,7 +1,7 @@
 import json
 from datetime import datetime, timedelta
 
-from lodestone.operators.drift import canonical_value, file_schemas, schema_changes, unified
+from lodestone.operators.drift import canonical_value, chained, file_schemas, schema_changes, unified
 from pyspark.sql import functions as F
 
 SCHEMA = "feed_id bigint, file_id bigint, delivered_at timestamp, row_no int, payload string"
@@ -70,3 +70,23 @@ def test_unified(spark):
     df = unified(spark.createDataFrame(data, SCHEMA), {"id": "key", "tags": "tags"}).orderBy("file_id", "row_no").collect()
     assert [(r["key"] and (r["key"]["kind"], r["key"]["text"], r["key"]["number"])) for r in df] == [("number", None, 7.0), ("string", "x", None), None]
     assert df[2]["tags"]["json"] == '["a"]'
+
+
+def test_unified_keeps_every_field(spark):
+    data = feed([{"ID": 7, "i_d": "x", "extra": [1], "none": None, "flag": True}], [{"id": None, "Other_Name": "o"}], [None])
+    df = unified(spark.createDataFrame(data, SCHEMA), {"id": "key"}).orderBy("file_id").collect()
+    assert df[0]["key"]["number"] == 7 and set(df[0]["rest"]) == {"i_d", "extra", "none", "flag"}
+    assert df[0]["rest"]["i_d"]["text"] == "x" and df[0]["rest"]["extra"]["json"] == "[1]" and df[0]["rest"]["none"] is None
+    assert (df[0]["rest"]["flag"]["kind"], df[0]["rest"]["flag"]["value"]) == ("boolean", "1")
+    assert df[1]["key"] is None and set(df[1]["rest"]) == {"Other_Name"} and df[1]["rest"]["Other_Name"]["text"] == "o" and df[2]["rest"] == {}
+
+
+def test_renames_lead_unlisted_names_to_their_column(spark):
+    old = people(12)
+    renamed = [[{name: p["id"], "name": p["name"], "age": p["age"]} for p in old] for name in ("Primary_No", "key_of_report")]
+    extra = [{**p, "colour": f"c{p['age'] % 7}"} for p in renamed[1]]
+    data = spark.createDataFrame(feed(old, *renamed, extra), SCHEMA)
+    fields = chained(data, {"id": "key", "name": "name"})
+    assert fields == {"id": "key", "name": "name", "primaryno": "key", "keyofreport": "key"}
+    assert unified(data, fields).where("key is null").count() == 0
+    assert chained(data.limit(0), {"id": "key"}) == {"id": "key"}
