@@ -267,11 +267,22 @@ def dictionary_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH n AS (SELECT DISTINCT spl_set_id, {_norm("json_extract_string(payload, '$.ingredients[0].name')")} AS needle FROM label_records WHERE spl_set_id IS NOT NULL AND json_valid(payload))
 SELECT d.doc_id, n.needle FROM documents d JOIN n USING (spl_set_id) WHERE n.needle <> '' AND contains(' ' || {_norm('d.text')} || ' ', ' ' || n.needle || ' ')""")
 def verbatim_corroboration(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first ingredient of a label only, as its SQL says; `verbatim_ingredients` looks for all of them."""
     n = table(spark, sf_dir, "label_records").select("spl_set_id", S.normalize_text(F.get_json_object("payload", "$.ingredients[0].name")).alias("needle")).where("needle <> ''").distinct()
     d = table(spark, sf_dir, "documents").select("doc_id", "spl_set_id", S.normalize_text(F.col("text")).alias("text"))
     return d.join(n, "spl_set_id").where(S.contains_words(F.col("text"), F.col("needle"))).select("doc_id", "needle")
 
 
+@query()
+def verbatim_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct `(doc_id, needle)` of texts that name an ingredient of their label, at whatever position, depth and form."""
+    r = table(spark, sf_dir, "label_records").where("spl_set_id is not null")
+    names = nested.flat_tables(nested.emit_objects(r))["ingredients"].select("record_id", S.normalize_text(F.col("name")).alias("needle")).where("needle <> ''")
+    n = names.join(r.select("record_id", "spl_set_id"), "record_id").select("spl_set_id", "needle").distinct()
+    d = table(spark, sf_dir, "documents").select("doc_id", "spl_set_id", S.normalize_text(F.col("text")).alias("text"))
+    return d.join(n, "spl_set_id").where(S.contains_words(F.col("text"), F.col("needle"))).select("doc_id", "needle").distinct()
+
+
 @query(f"""SELECT c.quarter, count(*) AS cases, count(*) FILTER (WHERE p.k IS NOT NULL) AS mapped FROM (SELECT quarter, {_key('nda_raw')} AS k FROM cases) c LEFT JOIN (SELECT DISTINCT {_key('appl_no_raw')} AS k FROM drugsfda_products WHERE {_key('appl_no_raw')} <> '') p ON c.k = p.k GROUP BY c.quarter""")
 def gate_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "drugsfda_products").select(S.application_key(F.col("appl_no_raw")).alias("k")).where("k <> ''").distinct()

@@ -1,6 +1,7 @@
 import json
 
 from lodestone.operators.nested import LABEL_TABLES, emit_objects, flat_tables, visit, write_tables
+from lodestone.queries import QUERIES
 
 TAGS = frozenset(LABEL_TABLES)
 
@@ -52,3 +53,18 @@ def test_frames(spark, rows, tmp_path):
     write_tables(objects, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).where("kind = 'sections'").count() == 3
     assert emit_objects(df.limit(0)).count() == 0
+
+
+def test_every_ingredient_is_looked_for_in_the_texts(spark, tmp_path, rows):
+    payloads = [
+        {"set_id": "s", "ingredients": [{"name": "Alpha"}, {"name": "Beta-Two", "moieties": [{"name": "Zeta"}]}, None]},
+        {"set_id": "o", "ingredients": {"name": "Gamma"}},
+        {"set_id": "t", "ingredients": json.dumps([{"name": "Delta"}])},
+        {"set_id": "d", "sections": [{"title": "x", "ingredients": [{"name": "Epsilon"}]}]},
+    ]
+    labels = [(i, p["set_id"], json.dumps(p)) for i, p in enumerate(payloads)] + [(9, None, json.dumps(payloads[0])), (10, "s", "{broken")]
+    spark.createDataFrame(labels, "record_id bigint, spl_set_id string, payload string").write.parquet(str(tmp_path / "label_records.parquet"))
+    docs = [(1, "s", "alpha and beta two, zeta"), (2, "o", "GAMMA."), (3, "t", "a delta"), (4, "d", "epsilon"), (5, "o", "alpha, gammas"), (6, None, "alpha"), (7, "s", None)]
+    spark.createDataFrame(docs, "doc_id bigint, spl_set_id string, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    want = [(1, "alpha"), (1, "beta two"), (2, "gamma"), (3, "delta"), (4, "epsilon")]
+    assert rows(QUERIES["verbatim_ingredients"](spark, str(tmp_path))) == want
