@@ -114,16 +114,16 @@ def canonical_values(values: DataFrame, entries: DataFrame, value: str = "indica
     candidates = spark.sql("SELECT t, filter(c, e -> e.cost < c[0].cost + 2) AS c FROM {c}", c=candidates)
     resolved = spark.sql(
         """SELECT x, collect_list(coalesce(c, CASE WHEN v.w IS NOT NULL THEN array(struct(0D AS cost, t AS w)) END, array())) AS cs
-        FROM (SELECT x, explode(ws) AS t FROM {spelt} WHERE size(ws) <= 12) q LEFT JOIN {v} v ON q.t = v.w LEFT JOIN {c} c USING (t) GROUP BY x""",
+        FROM (SELECT x, explode(ws) AS t FROM {spelt}) q LEFT JOIN {v} v ON q.t = v.w LEFT JOIN {c} c USING (t) GROUP BY x""",
         spelt=spelt, v=broadcast_if_small(vocabulary, LIST_ROWS), c=candidates,
     )
     resolved = materialize(resolved, "resolved")
-    # all choices of one candidate per word (words have few, by the bound on their cost)
+    # all choices of one candidate per word (words have few, by the bound on their cost); more words than any entry has match none
     choices = spark.sql(
         """SELECT x, explode(aggregate(cs, array(struct(CAST(array() AS ARRAY<STRING>) AS ws, 0D AS cost)),
              (acc, c) -> flatten(transform(acc, a -> transform(c, e -> struct(concat(a.ws, array(e.w)) AS ws, a.cost + e.cost AS cost)))))) AS o
-        FROM {resolved} WHERE forall(cs, c -> size(c) > 0)""",
-        resolved=resolved,
+        FROM {resolved} WHERE size(cs) <= (SELECT max(size(ws)) FROM {terms}) AND forall(cs, c -> size(c) > 0)""",
+        resolved=resolved, terms=terms,
     )
     by_words = spark.sql(
         """SELECT x, min_by(code, struct(cost, key)) AS code FROM (SELECT x, o.cost, array_join(array_sort(o.ws), ' ') AS key FROM {choices}) JOIN {terms} USING (key) GROUP BY x""",

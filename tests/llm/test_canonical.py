@@ -58,3 +58,11 @@ def test_the_join_finds_all_pairs_within_the_edits(spark):
     want = {(t, w) for t in asked for w in refs if lev(t, w) <= edits(len(w))}
     one = lambda c, v: spark.createDataFrame([(x,) for x in v], f"{c} string")
     assert {(x["t"], x["w"]) for x in _pigeonhole(spark, one("t", asked), one("w", set(refs))).collect()} == want
+
+
+def test_entries_of_many_words_match_by_words(spark):
+    words = "alphard bellatrix capella denebola electra fomalhaut gienah hadar izarine jabbah kochab lesath mirzam navion".split()
+    typed = " ".join(w[:2] + w[3:] for w in words[::-1])
+    terms = spark.createDataFrame([(" ".join(words), "M:1"), ("retinal abscess", "M:2")], "text string, curie string")
+    values = spark.createDataFrame([(typed,), (typed + " abscess",)], "indication string")
+    assert {tuple(r) for r in canonical_values(values, terms).collect()} == {(typed, "M:1"), (typed + " abscess", "")}
