@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,23 +21,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as spark.checkpoint.dir names it.
 
-    Only a session without that setting (tests, local mode) gets a folder of its own.
+    Only a local master without that setting (tests) gets a folder of its own; a cluster without it
+    is refused, as executors would write to disks that the others cannot read.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         folder = "file://" + tempfile.mkdtemp(prefix="lodestone-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+_open: list[list[tuple[SparkSession, str]]] = []
+
+
+def _file_system(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cuts lineage: writes `df` once to the shared folder and returns the written table.
 
-    A lost executor then costs a re-read, not a recomputation of the whole history.
+    A lost executor then costs a re-read, not a recomputation of the whole history. The table goes
+    at the end of the enclosing `intermediates()`, at the latest when the application ends.
     """
-    path = f"{shared_dir(df.sparkSession)}/lodestone-{label}-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/lodestone-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    target, fs = _file_system(spark, path)
+    fs.deleteOnExit(target)
+    if _open:
+        _open[-1].append((spark, path))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def intermediates() -> Iterator[None]:
+    """Deletes at its end the tables that `materialize` wrote within; use their results inside."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for spark, path in _open.pop():
+            target, fs = _file_system(spark, path)
+            fs.delete(target, True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
