@@ -52,6 +52,54 @@ def test_planted_passages_are_found_and_short_ones_are_not(spark):
     assert sum(x["documents"] for x in leak_report(left, right).collect()) == len(want)
 
 
+def test_a_passage_counts_in_full_whatever_its_length(spark):
+    item = [f"q{j}" for j in range(200)]
+    changed = [w if j % 25 else "new" for j, w in enumerate(item)]
+    docs = [(1, " ".join(["x y z", *item, "u v"])), (2, " ".join(["x", *changed[1:], "y"])), (3, " ".join(item[90:110]))]
+    left, right = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame([(5, " ".join(item))], "item_id bigint, text string")
+    assert {x["doc_id"]: x["matched"] for x in leaks(left, right).collect()} == {1: 200, 2: 192, 3: 20}
+    assert [tuple(x) for x in leak_report(left, right).collect()] == [(5, 3, 200)]
+
+
+def brute(doc, item):
+    """Longest passage by trying each pair of equal words as its start and one with all edits."""
+    best, n, m = 0, len(doc), len(item)
+    for i in range(n):
+        for j in range(m):
+            if doc[i] != item[j]:
+                continue
+            layer = {(i, j): 0}
+            for e in range(m // 3 + 1):
+                nxt = {}
+                todo = dict(layer)
+                while todo:
+                    (a, b), kept = todo.popitem()
+                    if a < n and b < m and doc[a] == item[b] and kept + 1 > todo.get((a + 1, b + 1), -1):
+                        todo[a + 1, b + 1] = kept + 1
+                    if kept >= 3 * e:
+                        best = max(best, kept)
+                    for at in ((a + 1, b + 1), (a + 1, b), (a, b + 1)):
+                        if at[0] <= n and at[1] <= m and kept > nxt.get(at, -1):
+                            nxt[at] = kept
+                layer = nxt
+    return best if best >= 9 else 0
+
+
+def test_equal_to_brute_force_on_everyday_words(spark):
+    r = random.Random(3)
+    common = [f"c{i}" for i in range(12)]
+    items = [[r.choice(common) if r.random() < 0.3 else f"i{k}x{j}" for j in range(24)] for k in range(8)]
+    docs = []
+    for d in range(60):
+        text = [r.choice(common) for _ in range(10)]
+        item, at = r.randrange(8), r.randrange(8)
+        docs.append(text[:5] + edited(r, items[item][at : at + r.randint(12, 16)]) + text[5:] if d % 2 else text + items[item][at : at + 5])
+    left = spark.createDataFrame([(d, " ".join(w)) for d, w in enumerate(docs)], "doc_id bigint, text string")
+    right = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(items)], "item_id bigint, text string")
+    want = {(d, k, n) for d, w in enumerate(docs) for k, it in enumerate(items) if (n := brute(w, it))}
+    assert {tuple(x) for x in leaks(left, right).collect()} == want and len(want) >= 25
+
+
 def test_extension_counts_kept_words():
     item = [f"i{j}" for j in range(30)]
     doc = item[:10] + ["new"] + item[11:25]
