@@ -8,6 +8,7 @@ source that usually writes none it proves nothing by itself.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,10 +28,10 @@ PLACEHOLDERS = {
     "keine angabe", "k.a", "sin datos", "sin información", "néant", "non renseigné",
 }
 ABBREVIATIONS = {"rev", "ref", "dr", "mr", "mrs", "prof", "no", "nr", "approx", "vs", "e.g", "i.e", "z.b", "bzw", "ca", "cf", "fig", "p.ej"}
-OMISSION = regex.compile(r"(?:…|\.\.\.+|\[\s*(?:…|\.\.\.+|cut|more|truncated|continued|gekürzt|suite)\s*\]|\(\s*(?:…|\.\.\.+|cut|more|truncated|continued|cont\.?)\s*\)|<\s*(?:cut|truncated|more)\s*>)\s*$", regex.I)
+OMISSION = regex.compile(r"(?r)(?:…|\.\.\.+|\[\s*(?:…|\.\.\.+|cut|more|truncated|continued|gekürzt|suite)\s*\]|\(\s*(?:…|\.\.\.+|cut|more|truncated|continued|cont\.?)\s*\)|<\s*(?:cut|truncated|more)\s*>)\s*$", regex.I)
 # a revision, reference, page or end mark in full
 CLOSING = regex.compile(
-    r"""(?:^|[\s>(\[])(?:
+    r"""(?r)(?:^|[\s>(\[])(?:
       (?:revised|revision|revidiert|révisé|revisado|stand)\s*:?\s*\d{1,2}[/.]\d{4}
     | rev\.\s*\d+(?:\.\d+)*\.[A-Z]
     | ref\.\s*[A-Z]{2,5}-\d{4,}
@@ -39,32 +40,50 @@ CLOSING = regex.compile(
     )\s*$""",
     regex.X | regex.I,
 )
-SIGNS = regex.compile(r"""[()\[\]{}“”«»「」『』（）【】]|</?[A-Za-z][A-Za-z0-9]{0,15}(?:\s[^<>]{0,200})?/?>""")
+SIGNS = regex.compile(r"""[()\[\]{}“”«»「」『』（）【】]|(?<![^\s(\[{>])"(?=[\p{L}\p{N}])|(?<=[^\s(\[{])"|</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>""")
+STRAIGHT = '"'  # opens before a word at the start of one, closes after one
 VOID = {"br", "hr", "img", "p", "li", "td", "tr", "th"}  # written without an end as often as not
-TAIL_TAGS = regex.compile(r"(?:\s|</?[A-Za-z][^<>]{0,200}>|&nbsp;)+$")
-BROKEN = regex.compile(r"(?:�|[ÃÂ]|â€?|&#?\w{0,8}|\\u[0-9a-fA-F]{0,3}|\\x[0-9a-fA-F]?|%[0-9a-fA-F]?(?<=\p{L}%[0-9a-fA-F]?)|</?[A-Za-z][^<>]{0,40}|</?)$")
+TAIL_TAGS = regex.compile(r"(?r)(?:\s|</?[A-Za-z][^<>]*>|&nbsp;)+$")
+BROKEN = regex.compile(r"(?r)(?:�|[ÃÂ]|â€?|&#?\w{0,8}|\\u[0-9a-fA-F]{0,3}|\\x[0-9a-fA-F]?|%[0-9a-fA-F]?(?<=\p{L}%[0-9a-fA-F]?)|</?[A-Za-z][^<>]*|</?)$")
 SCHEMA = "terminated boolean, unclosed boolean, broken boolean, omission boolean, closed boolean, placeholder boolean, weak boolean, chars int, bytes int"
 
 
 def stack_of(text: str) -> list[str]:
-    """What is open at the end of the text: brackets, paired quotes and inline tags."""
+    """What is open at the end of the text: brackets, quotes (paired and straight ones) and tags.
+
+    An apostrophe is no quote. Tags that are written without an end as often as not do not count.
+    """
     stack: list[str] = []
+    waiting: Counter[str] = Counter()
+
+    def close(opener: str) -> None:
+        """Takes the opener away with all that was left open inside it, if it is there."""
+        if waiting[opener]:
+            while (top := stack.pop()) != opener:
+                waiting[top] -= 1
+            waiting[opener] -= 1
+
     for m in SIGNS.finditer(text):
         sign = m[0]
         if sign[0] == "<":
-            name = sign.strip("</>").split()[0].lower() if sign.strip("</> ") else ""
+            name = sign.strip("</>").split()[0].lower()
             if name in VOID or sign.endswith("/>"):
                 continue
             if sign[1] == "/":
-                if f"<{name}" in stack:
-                    del stack[len(stack) - 1 - stack[::-1].index(f"<{name}") :]
-            else:
-                stack.append(f"<{name}")
+                close(f"<{name}")
+                continue
+            sign = f"<{name}"
+        elif sign == STRAIGHT:
+            if waiting[STRAIGHT]:
+                close(STRAIGHT)
+                continue
+            if m.start() and (text[m.start() - 1].isalnum() or text[m.start() - 1] in TERMINATORS):
+                continue  # behind a letter or digit it is an inch or a stray sign
         elif sign in PAIRS:
-            if PAIRS[sign] in stack:  # closes it with all that was left open inside
-                del stack[len(stack) - 1 - stack[::-1].index(PAIRS[sign]) :]
-        else:
-            stack.append(sign)
+            close(PAIRS[sign])
+            continue
+        stack.append(sign)
+        waiting[sign] += 1
     return stack
 
 
@@ -78,15 +97,17 @@ def signs_of_end(text: str | None) -> tuple:
     if plain.strip(" .!?:;-–—_*").lower() in PLACEHOLDERS or not regex.search(r"\p{L}", plain):
         return False, False, False, False, False, True, False, chars, size
     body = TAIL_TAGS.sub("", bare) or bare
-    mark = CLOSING.search(body[-120:])
+    mark = CLOSING.search(body)
     closed = bool(mark) and not (mark["at"] and int(mark["at"][:9]) > int(mark["all"][:9]))
-    omission = bool(OMISSION.search(body[-40:]))
+    omitted = OMISSION.search(body)
+    omission = bool(omitted)
     end = body.rstrip(CLOSERS + " \t\r\n\xa0")
     terminated = not omission and end[-1:] != "" and end[-1] in TERMINATORS
     last = end[:-1].rsplit(None, 1)[-1].lower().lstrip("(“\"'") if terminated and end[:-1].strip() else ""
     if last in ABBREVIATIONS:
         terminated = False
-    unclosed = any(s in PAIRS.values() for s in stack_of(body[: -len(OMISSION.search(body)[0])] if omission else body))
+    # tags at the very end may close what is open
+    unclosed = bool(stack_of(body[: omitted.start()] if omitted else bare))
     broken = bool(BROKEN.search(bare)) and not terminated
     return terminated, unclosed, broken, omission, closed, False, last.isdigit(), chars, size
 

@@ -31,6 +31,19 @@ def test_stack():
     assert stack_of("“a (b” c") == []
     assert stack_of("<b>x <i>y</i>") == ["<b"]
     assert stack_of("(" * 50_000)[:1] == ["("]
+    assert stack_of("(" * 200_000 + ")" * 200_000) == stack_of("<a " + "x" * 500 + ">y</a>") == []
+    assert stack_of('He said "we stop at ten.') == ['"'] and stack_of('He said "we stop" at 5" or 6".') == []
+
+
+def test_open_markup_and_quotes_are_evidence():
+    unclosed = lambda t: signs_of_end(t)[1]
+    assert unclosed("<b>The dose is fine.") and unclosed('He said "we stop at ten.') and unclosed("<i>It “ends here.</i>") is False
+    assert not unclosed("<b>The dose is fine.</b>") and not unclosed('("All of it.")') and not unclosed("<p>One.<br/>Two.")
+
+
+def test_marks_may_be_long():
+    assert signs_of_end("Fine. (end of " + "x" * 300 + ")")[4] and signs_of_end("Fine [" + " " * 300 + "cut ]")[3]
+    assert signs_of_end("It stopped at <a href='" + "x" * 300)[2]
 
 
 def test_edges(spark):
