@@ -3,9 +3,10 @@
 A reference word of length L that may differ in k places is cut into k + 1 segments; one of them must
 stand unchanged in any spelling within k edits, near its own position. So an equality join of
 positional substrings finds all candidates, and levenshtein verifies them. It runs over the distinct
-unknown words of the distinct values, not over rows. A value means an entry if its words, in any
-order, are the entry's words. Values written without the right blanks go through the same join as
-whole strings. What is left falls to an anti-join and is reported as unmatched.
+unknown words of the distinct values, not over rows. A value then meets the entries that have its
+rarest word, and means an entry if its words, in any order and number, are the entry's words: misspelt within
+the edits allowed, or abbreviated. Values written without the right blanks go through the same join
+as whole strings. What is left falls to an anti-join and is reported as unmatched.
 """
 
 from __future__ import annotations
@@ -70,6 +71,20 @@ SELECT t, w, levenshtein(t, w) AS edits FROM (
 WHERE levenshtein(t, w) <= {_EDITS.format("length(w)")}
 """
 
+# Of pairs of a value and an entry with all of its listed words: each other word t of the value with each
+# other word w of the entry at its cost (edits, or half an edit and a hundredth for each missing letter
+# of an abbreviation); the cheapest pairs first, each word once; the entry of least cost. An abbreviation
+# has two letters, or three where no word of the value is in full.
+_BY_WORDS = f"""
+SELECT x, min_by(code, CASE WHEN best.n = n THEN struct(best.cost, key) END) AS code FROM (
+  SELECT x, key, code, size(ts) AS n, aggregate(links, struct(0 AS n, 0D AS cost, CAST(array() AS ARRAY<INT>) AS a, CAST(array() AS ARRAY<INT>) AS b),
+    (acc, l) -> CASE WHEN array_contains(acc.a, l.i) OR array_contains(acc.b, l.j) THEN acc ELSE struct(acc.n + 1 AS n, acc.cost + l.cost AS cost, array_append(acc.a, l.i) AS a, array_append(acc.b, l.j) AS b) END) AS best
+  FROM (SELECT x, key, code, ts, array_sort(filter(flatten(transform(ts, (t, i) -> transform(ws, (w, j) -> struct(
+      least(nullif(levenshtein(t, w, {_EDITS.format("length(w)")}), -1) * 1D,
+        CASE WHEN length(t) >= CASE WHEN short THEN 3 ELSE 2 END AND length(t) < length(w) AND startswith(w, t) THEN 0.5D + (length(w) - length(t)) / 100D END) AS cost,
+      i, j)))), l -> l.cost IS NOT NULL)) AS links FROM {{pairs}}))
+GROUP BY x HAVING code IS NOT NULL"""  # as a filter, the comparison would be pushed below the join and made for all pairs
+
 
 def _pigeonhole(spark, asked: DataFrame, refs: DataFrame) -> DataFrame:
     """`(t, w, edits)` of asked strings t and reference strings w within the edits w's length allows."""
@@ -95,46 +110,46 @@ def canonical_values(values: DataFrame, entries: DataFrame, value: str = "indica
     terms = spark.sql("SELECT key, min(w) AS w, min(ws) AS ws, min(code) AS code FROM {t} GROUP BY key", t=terms)
     terms = materialize(terms, "terms")  # read by each of the joins below
     vocabulary = spark.sql("SELECT DISTINCT w FROM (SELECT explode(ws) AS w FROM {terms})", terms=terms)
-    unknown = spark.sql(
-        "SELECT t FROM (SELECT DISTINCT explode(ws) AS t FROM {spelt}) q LEFT ANTI JOIN {v} v ON q.t = v.w", spelt=spelt, v=broadcast_if_small(vocabulary, LIST_ROWS)
-    )
-    unknown = materialize(unknown, "words")
-    near = _pigeonhole(spark, unknown, vocabulary)
-    # a word cut short stands for the words it begins, the shortest first
-    begun = spark.sql(
-        """SELECT u.t, p.w, 0.5D + (length(p.w) - length(u.t)) / 100D AS cost FROM {unknown} u
-        JOIN (SELECT w, substring(w, 1, n) AS head FROM {v} LATERAL VIEW explode(sequence(2, greatest(2, length(w) - 1))) s AS n) p ON u.t = p.head""",
-        unknown=unknown, v=vocabulary,
+    v = broadcast_if_small(vocabulary, LIST_ROWS)
+    unknown = materialize(spark.sql("SELECT t FROM (SELECT DISTINCT explode(ws) AS t FROM {spelt}) q LEFT ANTI JOIN {v} v ON q.t = v.w", spelt=spelt, v=v), "words")
+    near = materialize(_pigeonhole(spark, unknown, vocabulary), "near")
+    postings = materialize(spark.sql("SELECT w, key, ws, code, size(ws) AS n FROM (SELECT key, array_distinct(ws) AS ws, code FROM {terms}) LATERAL VIEW explode(ws) e AS w", terms=terms.drop("w")), "postings")
+    # whether a word is listed, near a listed one or the beginning of one, and how many entries it may lead to
+    words = spark.sql(
+        """WITH p AS (SELECT w, count(*) AS posts FROM {postings} GROUP BY w),
+        heads AS (SELECT substring(w, 1, n) AS t, sum(posts) AS posts FROM p LATERAL VIEW explode(sequence(2, greatest(2, length(w) - 1))) s AS n GROUP BY 1)
+        SELECT t, sum(posts) AS posts, bool_or(listed) AS listed, bool_or(full) AS full FROM (
+          SELECT w AS t, posts, true AS listed, true AS full FROM p
+          UNION ALL SELECT t, posts, false, true FROM {near} JOIN p USING (w)
+          UNION ALL SELECT t, posts, false, false FROM {unknown} JOIN heads USING (t)) GROUP BY t""",
+        postings=postings, near=near, unknown=unknown,
     )
-    candidates = spark.sql(
-        """SELECT t, array_sort(collect_list(struct(cost, w))) AS c FROM (
-          SELECT t, w, min(cost) AS cost FROM (SELECT t, w, CAST(edits AS DOUBLE) AS cost FROM {near} UNION ALL SELECT * FROM {begun}) GROUP BY t, w) GROUP BY t""",
-        near=near, begun=begun,
+    # each value with its words and the one that leads to the fewest entries
+    asked = spark.sql(
+        """SELECT x, collect_set(CASE WHEN NOT coalesce(listed, false) THEN q.t END) AS ts, collect_set(CASE WHEN listed THEN q.t END) AS listed, bool_and(full IS NOT NULL) AS spelt_out,
+          NOT bool_or(coalesce(full, false)) AS short, min(CASE WHEN full IS NOT NULL THEN struct(posts, q.t AS t, listed) END) AS by
+        FROM (SELECT x, explode(ws) AS t FROM {spelt}) q LEFT JOIN {words} w ON q.t = w.t GROUP BY x""",
+        spelt=spelt, words=words,
     )
-    candidates = spark.sql("SELECT t, filter(c, e -> e.cost < c[0].cost + 2) AS c FROM {c}", c=candidates)
-    resolved = spark.sql(
-        """SELECT x, collect_list(coalesce(c, CASE WHEN v.w IS NOT NULL THEN array(struct(0D AS cost, t AS w)) END, array())) AS cs
-        FROM (SELECT x, explode(ws) AS t FROM {spelt}) q LEFT JOIN {v} v ON q.t = v.w LEFT JOIN {c} c USING (t) GROUP BY x""",
-        spelt=spelt, v=broadcast_if_small(vocabulary, LIST_ROWS), c=candidates,
+    asked = materialize(asked, "asked")
+    begun = spark.sql(
+        """SELECT u.t, p.w FROM (SELECT DISTINCT by.t AS t FROM {asked} WHERE spelt_out AND NOT by.listed) u
+        JOIN (SELECT w, substring(w, 1, n) AS head FROM {v} LATERAL VIEW explode(sequence(2, greatest(2, length(w) - 1))) s AS n) p ON u.t = p.head WHERE levenshtein(u.t, p.w) = length(p.w) - length(u.t)""",
+        asked=asked, v=vocabulary,
     )
-    resolved = materialize(resolved, "resolved")
-    # all choices of one candidate per word (words have few, by the bound on their cost); more words than any entry has match none
-    choices = spark.sql(
-        """SELECT x, explode(aggregate(cs, array(struct(CAST(array() AS ARRAY<STRING>) AS ws, 0D AS cost)),
-             (acc, c) -> flatten(transform(acc, a -> transform(c, e -> struct(concat(a.ws, array(e.w)) AS ws, a.cost + e.cost AS cost)))))) AS o
-        FROM {resolved} WHERE size(cs) <= (SELECT max(size(ws)) FROM {terms}) AND forall(cs, c -> size(c) > 0)""",
-        resolved=resolved, terms=terms,
-    )
-    by_words = spark.sql(
-        """SELECT x, min_by(code, struct(cost, key)) AS code FROM (SELECT x, o.cost, array_join(array_sort(o.ws), ' ') AS key FROM {choices}) JOIN {terms} USING (key) GROUP BY x""",
-        choices=choices, terms=broadcast_if_small(terms, LIST_ROWS),
+    reach = spark.sql("SELECT DISTINCT w AS t, w FROM {postings} UNION ALL (SELECT t, w FROM {near} UNION SELECT t, w FROM {begun})", postings=postings, near=near, begun=begun)
+    # a listed word stands for itself only, so an entry must have all of them; the other words are compared one by one
+    pairs = spark.sql(
+        """SELECT a.x, a.ts, a.short, p.key, array_except(p.ws, a.listed) AS ws, p.code FROM {asked} a JOIN {reach} r ON a.by.t = r.t JOIN {postings} p ON r.w = p.w AND size(a.ts) + size(a.listed) = p.n
+        WHERE a.spelt_out AND size(array_except(a.listed, p.ws)) = 0""",
+        asked=asked, reach=reach, postings=postings,
     )
-    by_words = materialize(by_words, "bywords")
+    by_words = materialize(spark.sql(_BY_WORDS, pairs=pairs), "bywords")
     # unmatched so far: as whole strings without blanks, at one edit if each word is known, else at three
     rest = spark.sql(
-        """SELECT s.x, array_join(s.ws, '') AS t, r.x IS NOT NULL AS spelt_out FROM {spelt} s LEFT ANTI JOIN {found} f ON s.x = f.x
-        LEFT JOIN (SELECT x FROM {resolved} WHERE forall(cs, c -> size(c) > 0)) r ON s.x = r.x WHERE size(s.ws) > 0""",
-        spelt=spelt, found=by_words, resolved=resolved,
+        """SELECT s.x, array_join(s.ws, '') AS t, coalesce(a.spelt_out, false) AS spelt_out FROM {spelt} s LEFT ANTI JOIN {found} f ON s.x = f.x
+        LEFT JOIN {asked} a ON s.x = a.x WHERE size(s.ws) > 0""",
+        spelt=spelt, found=by_words, asked=asked,
     )
     rest = materialize(rest, "rest")
     whole = _pigeonhole(spark, spark.sql("SELECT DISTINCT t FROM {rest}", rest=rest), spark.sql("SELECT DISTINCT w FROM {terms}", terms=terms))

@@ -66,3 +66,26 @@ def test_entries_of_many_words_match_by_words(spark):
     terms = spark.createDataFrame([(" ".join(words), "M:1"), ("retinal abscess", "M:2")], "text string, curie string")
     values = spark.createDataFrame([(typed,), (typed + " abscess",)], "indication string")
     assert {tuple(r) for r in canonical_values(values, terms).collect()} == {(typed, "M:1"), (typed + " abscess", "")}
+
+
+def test_abbreviations(spark):
+    terms = spark.createDataFrame([("progressive bronchial tumour", "M:1"), ("acute bronchial tumour", "M:2"), ("acute spasm", "M:3")], "text string, curie string")
+    want = {
+        "progr bronchial tum.": "M:1", "ac. bronchial tumor": "M:2", "prog bron tum": "M:1", "tum. bronch. progr.": "M:1", "pr br": "", "pr br tu": "", "ac sp": "", "ac spasm": "M:3",
+        "p bronchial tumour": "", "bronchial tumour": "", "acute acute spasm": "M:3", "acute spasm spasn": "",
+    }
+    values = spark.createDataFrame([(v,) for v in want], "indication string")
+    assert {r["value"]: r["code"] for r in canonical_values(values, terms).collect()} == want
+
+
+def test_a_long_list_with_a_word_in_a_third_of_its_entries(spark):
+    r = random.Random(5)
+    letters = "abcdefghiklmnoprstuvz"
+    words = ["".join(r.choice(letters) for _ in range(r.randint(6, 11))) for _ in range(20_000)]
+    entries = [f"{a} {'disease' if i % 3 == 0 else b}" for i, (a, b) in enumerate(zip(words, words[::-1]))]
+    terms = spark.createDataFrame([(e, f"M:{i}") for i, e in enumerate(entries)], "text string, curie string")
+    picked = [i for i in range(0, 20_000, 97) if len(words[i]) > 8]
+    values = {f"{words[i][:2]}{words[i][3:]} {entries[i].split()[1]}": f"M:{i}" for i in picked}
+    values |= {"ab cd": "", "ab disease of cd": ""}
+    got = {x["value"]: x["code"] for x in canonical_values(spark.createDataFrame([(v,) for v in values], "indication string"), terms).collect()}
+    assert sum(got[v] == c for v, c in values.items()) >= 0.99 * len(values) and got["ab cd"] == got["ab disease of cd"] == ""
