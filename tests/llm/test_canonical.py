@@ -81,8 +81,8 @@ def test_abbreviations(spark):
 def test_a_long_list_with_a_word_in_a_third_of_its_entries(spark):
     r = random.Random(5)
     letters = "abcdefghiklmnoprstuvz"
-    words = ["".join(r.choice(letters) for _ in range(r.randint(6, 11))) for _ in range(20_000)]
-    entries = [f"{a} {'disease' if i % 3 == 0 else b}" for i, (a, b) in enumerate(zip(words, words[::-1]))]
+    words = ["".join(r.choice(letters) for _ in range(r.randint(6, 11))) for _ in range(40_000)]
+    entries = [f"{a} {'disease' if i % 3 == 0 else b}" for i, (a, b) in enumerate(zip(words[:20_000], words[20_000:]))]
     terms = spark.createDataFrame([(e, f"M:{i}") for i, e in enumerate(entries)], "text string, curie string")
     picked = [i for i in range(0, 20_000, 97) if len(words[i]) > 8]
     values = {f"{words[i][:2]}{words[i][3:]} {entries[i].split()[1]}": f"M:{i}" for i in picked}
