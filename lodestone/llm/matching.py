@@ -3,15 +3,19 @@
 Each noisy attribute (drug name, substance, company) is resolved to the spellings of the target table
 by the pigeonhole join, over distinct values. Records with the same resolved attributes form one
 entity; entities and applications that agree in a brand, or in a substance and the company, become
-candidate pairs with a potential from all attributes. Loopy belief propagation then exchanges
-messages along the pairs, by aggregation and joins, until they settle: an entity denotes at most one
-application, and an application is denoted by at most one entity of each source and set of filled
-attributes (rows on different single substances of one product are no rivals). The marginals are the confidences; a record's own misspellings lower its share.
+candidate pairs with a potential from all attributes and their misspellings. Loopy belief propagation
+then exchanges messages along the pairs until they settle: an entity denotes at most one application,
+and an application is denoted by at most one entity of each source, set of filled attributes and
+number of misspellings (rows on different single substances of one product are no rivals). Each
+factor's sum is an aggregation with map-side combine that is joined back to its pairs, so that a
+factor with many pairs is never one task's group. The marginals are the confidences.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.llm.canonical import ACCENTED, MEANT, PLAIN, TYPED, _pigeonhole
@@ -26,7 +30,8 @@ FORM_WORDS = (
 PRIOR, BRAND, OTHER_NAME, UNKNOWN_NAME = -4.0, 8.0, -8.0, -2.0
 SUBSTANCE_NAME, PART_NAME, SUBSTANCE, PART, OTHER_SUBSTANCE, UNKNOWN_SUBSTANCE = 2.0, 1.0, 3.0, 2.0, -5.0, -1.0
 FIRM, OTHER_FIRM, UNKNOWN_FIRM, EDIT = 4.0, -3.0, -0.5, 1.2
-ROUNDS, SETTLED, SURE = 12, 1e-3, 0.5
+ROUNDS, SETTLED, SURE = 200, 1e-3, 0.5  # after so many rounds without settling, pairs still moving are reported as such
+ENTITY = ("source", "name", "substance", "firm", "slips")
 APPLICATIONS = 200_000  # target rows and their spellings are broadcast up to this number
 
 
@@ -99,7 +104,8 @@ def _resolved(rows: DataFrame, apps: DataFrame) -> DataFrame:
         out = out.join(to, c, "left")
     to = lambda c: F.when(F.col(c).isNull(), "").otherwise(F.coalesce(f"{c}_to", F.lit("?"))).alias(c)
     edits = F.coalesce("name_edits", F.lit(0)) + F.coalesce("substance_edits", F.lit(0)) + F.coalesce("firm_edits", F.lit(0))
-    return out.select("source", "row_id", to("name"), to("substance"), to("firm"), F.coalesce("name_edits", F.lit(0)).alias("name_edits"), edits.alias("edits"))
+    slips = F.greatest(F.coalesce("name_edits", F.lit(0)), edits - F.lit(1))  # a single edit outside the name is forgiven
+    return out.select("source", "row_id", to("name"), to("substance"), to("firm"), slips.alias("slips"))
 
 
 def _pairs(entities: DataFrame, apps: DataFrame) -> DataFrame:
@@ -111,7 +117,7 @@ def _pairs(entities: DataFrame, apps: DataFrame) -> DataFrame:
     spelt = a.select("*", F.explode(F.array_distinct(F.concat("parts", "wholes"))).alias("key"))
     asked = e.where(~F.col("firm").isin("", "?")).select("*", F.explode(F.array_distinct(F.array("name", "substance"))).alias("asked")).where(~F.col("asked").isin("", "?"))
     by_firm = asked.join(broadcast_if_small(spelt, APPLICATIONS), (F.col("asked") == F.col("key")) & (F.col("firm") == F.col("app_firm"))).drop("key", "asked")
-    both = by_brand.unionByName(by_firm).dropDuplicates(["source", "name", "substance", "firm", "appl_no"])
+    both = by_brand.unionByName(by_firm).dropDuplicates([*ENTITY, "appl_no"])
     whole, part = lambda c: F.array_contains("wholes", F.col(c)), lambda c: F.array_contains("parts", F.col(c))
     name = (
         F.when(F.col("name") == "", 0.0).when(F.col("name") == "?", UNKNOWN_NAME).when(F.col("name").eqNullSafe(F.col("brand")), BRAND)
@@ -122,53 +128,56 @@ def _pairs(entities: DataFrame, apps: DataFrame) -> DataFrame:
     )
     firm = F.when(F.col("firm") == "", 0.0).when(F.col("firm") == "?", UNKNOWN_FIRM).when(F.col("firm") == F.col("app_firm"), FIRM).otherwise(OTHER_FIRM)
     filled = F.concat_ws("", F.when(F.coalesce("is_brand", F.lit(False)), "b").when(F.col("name") == "", "-").otherwise("n"), F.when(F.col("substance") == "", "-").when(part("substance") & ~whole("substance"), F.concat(F.lit("p:"), "substance", F.lit(":"))).otherwise("s"), F.when(F.col("firm") == "", "-").otherwise("f"))
-    return both.select("source", "name", "substance", "firm", "appl_no", filled.alias("filled"), (name + substance + firm + F.lit(PRIOR)).alias("phi"))
+    return both.select(*ENTITY, "appl_no", filled.alias("filled"), (name + substance + firm + F.lit(PRIOR) - F.lit(EDIT) * F.col("slips")).alias("phi"))
 
 
-def propagate(pairs: DataFrame, entity: list[str], rival: list[str], rounds: int = ROUNDS, settled: float = SETTLED, damping: float = 0.3) -> DataFrame:
-    """pairs with `belief`, the marginal probability that the pair holds.
+def propagate(pairs: DataFrame, entity: Sequence[str], rival: Sequence[str], rounds: int = ROUNDS, settled: float = SETTLED, damping: float = 0.3) -> DataFrame:
+    """pairs with `belief`, the marginal probability that the pair holds, and `settled`.
 
     Sum-product messages in log-odds. The factor of an entity lets at most one of its pairs hold, the
     factor of `rival` (application, source, filled attributes) at most one of its pairs. Every two
     rounds the messages are written, which cuts lineage, and compared with those before; it ends when
-    none moved by `settled` or after `rounds`.
+    none moved by `settled`. Pairs whose messages still move after `rounds` have settled = false.
+    Factors are known by 64-bit hashes of their columns; (entity, rival) is a pair's key.
     """
-    state = materialize(pairs.withColumn("back", F.lit(0.0)), "messages")
-    one, other = Window.partitionBy(*entity), Window.partitionBy(*rival)
+    keyed = materialize(pairs.withColumns({"__e": F.xxhash64(*entity), "__r": F.xxhash64(*rival)}), "pairs")
+    state = keyed.select("__e", "__r", "phi", F.lit(0.0).alias("back"), F.lit(0.0).alias("moved"))
+
+    def others(step: DataFrame, factor: str, weight: Column) -> DataFrame:
+        """step with `rest`: the sum of the weights of a factor's other pairs."""
+        step = step.withColumn("weight", weight)
+        sums = step.groupBy(factor).agg(F.sum("weight").alias("all"))
+        return step.join(sums, factor).withColumn("rest", F.greatest(F.col("all") - F.col("weight"), F.lit(0.0))).drop("all", "weight")
+
+    heard = F.exp(F.col("phi") + F.col("back"))
     for k in range(0, rounds, 2):
-        step = state.withColumn("was", F.col("back"))
+        step, keep = state.withColumn("was", F.col("back")), F.lit(damping if k else 0.0)
         for _ in range(2):
-            heard = F.exp(F.col("phi") + F.col("back"))
             # what the entity says of a pair: its potential against none or the entity's other pairs
-            step = step.withColumn("said", F.col("phi") - F.log1p(F.greatest(F.sum(heard).over(one) - heard, F.lit(0.0))))
-            share = F.exp("said")
-            fresh = -F.log1p(F.greatest(F.sum(share).over(other) - share, F.lit(0.0)))
-            step = step.withColumn("back", F.lit(damping if k else 0.0) * F.col("back") + F.lit(1 - (damping if k else 0.0)) * fresh)
-        state = materialize(step.select(*pairs.columns, "back", "said", "was"), "messages")
-        if (state.agg(F.max(F.abs(F.col("back") - F.col("was")))).first()[0] or 0.0) < settled:
+            step = others(step, "__e", heard).withColumn("said", F.col("phi") - F.log1p("rest"))
+            step = others(step, "__r", F.exp("said")).withColumn("back", keep * F.col("back") - (1 - keep) * F.log1p("rest"))
+        state = materialize(step.select("__e", "__r", "phi", "back", F.abs(F.col("back") - F.col("was")).alias("moved")), "messages")
+        if (state.agg(F.max("moved")).first()[0] or 0.0) < settled:
             break
-    heard = F.exp(F.col("phi") + F.col("back"))
-    logit = F.col("phi") + F.col("back") - F.log1p(F.greatest(F.sum(heard).over(one) - heard, F.lit(0.0)))
-    return state.select(*pairs.columns, (1 / (1 + F.exp(-logit))).alias("belief"))
+    logit = F.col("phi") + F.col("back") - F.log1p("rest")
+    beliefs = others(state, "__e", heard).select("__e", "__r", (1 / (1 + F.exp(-logit))).alias("belief"), (F.col("moved") < settled).alias("settled"))
+    return keyed.join(beliefs, ["__e", "__r"]).drop("__e", "__r")
 
 
 def match(rows: DataFrame, apps: DataFrame, sure: float = SURE) -> DataFrame:
-    """`(appl_no, source, row_id, confidence)`: the application a record denotes, at most one each.
+    """`(appl_no, source, row_id, confidence, settled)`: the application a record denotes, at most one each.
 
-    rows as records() gives them (their union), apps as targets() gives them. A record without any
-    attribute near a target's is no match. Of equally probable applications the first by number
-    holds. Repeated records are answered row by row; rows without row_id are left out; empty tables
-    give no rows.
+    rows as records() gives them (their union), apps as targets() gives them. confidence is the
+    marginal probability; pairs under `sure` are left out. A record without any attribute near a
+    target's is no match. Of equally probable applications the first by number holds. Repeated records
+    are answered row by row; rows without row_id are left out; empty tables give no rows.
     """
     apps = materialize(apps, "targets")
     keyed = materialize(rows.where("row_id is not null and (name is not null or substance is not null)"), "records")
     near = _resolved(keyed, apps).where("name not in ('', '?') or substance not in ('', '?')")
     near = materialize(near, "resolved")
-    entity = ["source", "name", "substance", "firm"]
-    pairs = _pairs(near.select(*entity).distinct(), apps)
-    beliefs = propagate(pairs, entity, ["appl_no", "source", "filled"])
-    best = beliefs.groupBy(*entity).agg(F.min(F.struct((-F.col("belief")).alias("b"), "appl_no")).alias("t")).select(*entity, "t.appl_no", (-F.col("t.b")).alias("belief"))
-    p = F.least(F.col("belief"), F.lit(1 - 1e-9))
-    logit = F.log(p / (1 - p)) - F.lit(EDIT) * F.greatest(F.col("name_edits"), F.col("edits") - F.lit(1))
-    out = near.join(best.where(F.col("belief") >= sure), entity).withColumn("confidence", F.round(1 / (1 + F.exp(-logit)), 6))
-    return out.where(F.col("confidence") >= sure).select("appl_no", "source", "row_id", "confidence")
+    pairs = _pairs(near.select(*ENTITY).distinct(), apps)
+    beliefs = propagate(pairs, ENTITY, ["appl_no", "source", "filled", "slips"])
+    best = beliefs.groupBy(*ENTITY).agg(F.min(F.struct((-F.col("belief")).alias("b"), "appl_no", "settled")).alias("t"))
+    best = best.select(*ENTITY, "t.appl_no", F.round(-F.col("t.b"), 6).alias("confidence"), "t.settled").where(F.col("confidence") >= sure)
+    return near.join(best, list(ENTITY)).select("appl_no", "source", "row_id", "confidence", "settled")

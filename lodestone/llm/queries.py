@@ -26,13 +26,13 @@ def p1_unmatched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return canonical.unmatched_report(table(spark, sf_dir, "cases"), table(spark, sf_dir, "disease_terms"))
 
 
-def _drug_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _drug_matches(spark: SparkSession, sf_dir: str, sure: float = matching.SURE) -> DataFrame:
     cases, spl = table(spark, sf_dir, "cases"), table(spark, sf_dir, "spl_ingredients")
     open_cases = cases.where(F.coalesce(F.btrim("nda"), F.lit("")).rlike(r"^\s*$"))
     rows = matching.records(open_cases, "cases", "case_row_id", "drugname", "ingredient", "mfr_sndr").unionByName(
         matching.records(spl.where("role = 'active'"), "spl_ingredients", "ingredient_row_id", "product_name", "ingredient_name", "labeler_name")
     )
-    return matching.match(rows, matching.targets(table(spark, sf_dir, "drugsfda_products")))
+    return matching.match(rows, matching.targets(table(spark, sf_dir, "drugsfda_products")), sure)
 
 
 @query()
@@ -42,7 +42,8 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def p4_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _drug_matches(spark, sf_dir).select("appl_no", F.col("source").alias("source_table"), "row_id", "confidence")
+    """Of every record with a candidate the most probable application, however unsure."""
+    return _drug_matches(spark, sf_dir, 0.0).select("appl_no", F.col("source").alias("source_table"), "row_id", "confidence", "settled")
 
 
 @query()

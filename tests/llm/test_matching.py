@@ -68,3 +68,25 @@ def test_beliefs_are_exact_without_loops_and_close_with_them(spark):
         got = {(x["e"], x["a"]): x["belief"] for x in propagate(df, ["e"], ["a"], rounds=40, settled=1e-6).collect()}
         for (e, a, _), p in zip(pairs, brute(pairs)):
             assert abs(got[e, a] - p) < slack
+
+
+def test_messages_that_do_not_settle_are_reported(spark):
+    loop = [(f"e{i}", f"a{j}", 2.0 + i - j) for i in range(3) for j in range(3)]
+    df = spark.createDataFrame(loop, "e string, a string, phi double")
+    assert {x["settled"] for x in propagate(df, ["e"], ["a"], rounds=2, settled=1e-12).collect()} == {False}
+    assert {x["settled"] for x in propagate(df, ["e"], ["a"]).collect()} == {True}
+
+
+def test_unsure_records_keep_their_confidence(spark, apps):
+    every = {(r["row_id"], r["appl_no"]): r["confidence"] for r in match(as_records(spark, CASES), apps, 0.0).collect()}
+    sure = {(r["row_id"], r["appl_no"]): r["confidence"] for r in match(as_records(spark, CASES), apps).collect()}
+    assert sure.items() <= every.items() and {k for k, p in every.items() if p >= 0.5} == set(sure)
+    slipped, clean = every[10, "101"], every[1, "101"]
+    assert slipped < clean
+
+
+def test_a_factor_with_most_pairs(spark):
+    df = spark.range(4000).selectExpr("concat('e', id) AS e", "CASE WHEN id % 3 > 0 THEN 'hot' ELSE concat('a', id) END AS a", "1.0D + (id % 7) AS phi")
+    got = {r["a"]: r["belief"] for r in propagate(df, ["e"], ["a"]).where("a in ('a0', 'a3', 'a6')").collect()}
+    assert abs(got["a0"] - 2.718281828 / 3.718281828) < 1e-6 and len(got) == 3
+    assert abs(propagate(df, ["e"], ["a"]).where("a = 'hot'").agg({"belief": "sum"}).first()[0] - 1) < 1e-2
