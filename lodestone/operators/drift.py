@@ -1,17 +1,25 @@
-"""Schemas that drift between files: tagged unions per field, changes between files, one table.
+"""Schemas that drift between files: tagged unions per path, changes between files, one table.
 
-Each file reduces to a tagged union per field (how often each JSON kind occurs), computed with a
-map-side combine. Neighbouring files of a feed are compared on those small schemas; only files that
-both lose and gain fields have their records aligned, by values of the fields that stayed which only
-one record of each file has, so that missing values in single deliveries do no harm.
+One pass over the rows fuses them to tagged unions: how often each JSON kind occurs at each path of a
+file, below the top level too, summed up within each batch before anything is shuffled. Neighbouring
+files of a feed are compared on those small schemas; only files that both lose and gain fields have
+their records aligned, by hashes of the values of the fields that stayed.
 """
 
 from __future__ import annotations
 
+import json
+from collections import Counter
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.runtime import broadcast_if_small, materialize, spread
+
 KINDS = ("string", "number", "boolean", "array", "object")
+MAX_FILES = 50_000  # compared files and their fields are broadcast up to this number
 MAX_PAIRS = 200_000  # pairs of field names that are collected at most
 
 
@@ -54,22 +62,83 @@ def _cells(payload: str) -> Column:
     )
 
 
-def file_schemas(feed: DataFrame, feed_id: str = "feed_id", file_id: str = "file_id", delivered_at: str = "delivered_at", payload: str = "payload") -> DataFrame:
-    """Tagged unions: `(feed_id, file_id, delivered_at, fields)`, a row per file.
+def _refuse(constant: str):
+    raise ValueError(constant)
+
+
+def _paths(text: str | None) -> Iterator[tuple[str, str, str | None]]:
+    """`(field, path, kind)` of each value in a JSON object, depth first; kind is None for a null."""
+    try:
+        root = json.loads(text or "", parse_constant=_refuse)
+    except (ValueError, RecursionError):
+        return
+    if not isinstance(root, dict):
+        return
+    stack = [(k, k, v) for k, v in root.items()]
+    while stack:
+        field, path, v = stack.pop()
+        if isinstance(v, dict):
+            yield field, path, "object"
+            stack += [(field, f"{path}.{k}", x) for k, x in v.items()]
+        elif isinstance(v, list):
+            yield field, path, "array"
+            stack += [(field, f"{path}[]", x) for x in v]
+        else:
+            yield field, path, None if v is None else "boolean" if isinstance(v, bool) else "string" if isinstance(v, str) else "number"
+
+
+def unions(feed: DataFrame, feed_id: str = "feed_id", file_id: str = "file_id", delivered_at: str = "delivered_at", payload: str = "payload") -> DataFrame:
+    """Tagged unions: `(feed_id, file_id, delivered_at, field, path, kind, n)`, how many values of a path have a kind.
+
+    path is the field's name, then `.name` into objects and `[]` into arrays; kind is null for nulls.
+    Each file also has one row without a field, which counts its rows. Rows that are no JSON object
+    add nothing else. Repeated rows count as often as they occur.
+    """
+    shape = "feed_id {0}, file_id {1}, delivered_at {2}, field string, path string, kind string, n bigint".format(*[feed.schema[c].dataType.simpleString() for c in (feed_id, file_id, delivered_at)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            counts: Counter = Counter()
+            for f, file, at, text in zip(*(c.to_pylist() for c in b.columns)):
+                counts[f, file, at, None, None, None] += 1
+                counts.update((f, file, at, *p) for p in _paths(text))
+            cols = list(zip(*counts)) or [()] * 6
+            types = [b.schema.field(i).type for i in range(3)] + [pa.string()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)] + [pa.array(list(counts.values()), pa.int64())], names=["feed_id", "file_id", "delivered_at", "field", "path", "kind", "n"])
+
+    rows = spread(feed.select(F.col(feed_id).alias("feed_id"), F.col(file_id).alias("file_id"), F.col(delivered_at).alias("delivered_at"), F.col(payload).alias("payload")))
+    part = rows.mapInArrow(run, shape)
+    return part.groupBy("feed_id", "file_id", "field", "path", "kind").agg(F.min("delivered_at").alias("delivered_at"), F.sum("n").alias("n")).select("feed_id", "file_id", "delivered_at", "field", "path", "kind", "n")
+
+
+def file_schemas(found: DataFrame) -> DataFrame:
+    """Of unions(), `(feed_id, file_id, delivered_at, fields)`, a row per file.
 
     fields is array<struct<field, kind>> with the kind most of the field's non-null values have (of
     equally frequent kinds the first by name; null if all values are null). Files without any
     readable object have an empty array.
     """
-    kinds = F.transform(_fields(payload), lambda e: F.struct(e["key"].alias("field"), _kind(e["value"]).alias("kind")))
-    rows = feed.select(F.col(feed_id).alias("feed_id"), F.col(file_id).alias("file_id"), F.col(delivered_at).alias("delivered_at"), kinds.alias("cells"))
-    cells = rows.select("feed_id", "file_id", "delivered_at", F.explode_outer("cells").alias("c"))
-    per = cells.groupBy("feed_id", "file_id", F.col("c.field").alias("field"), F.col("c.kind").alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.min("delivered_at").alias("delivered_at"))
-    best = per.groupBy("feed_id", "file_id", "field").agg(F.min("delivered_at").alias("delivered_at"), F.min(F.when(F.col("kind").isNotNull(), F.struct(-F.col("n"), "kind"))).alias("k"))
+    top = found.where(F.col("field").isNull() | (F.col("field") == F.col("path")))
+    best = top.groupBy("feed_id", "file_id", "field").agg(F.min("delivered_at").alias("delivered_at"), F.min(F.when(F.col("kind").isNotNull(), F.struct(-F.col("n"), "kind"))).alias("k"))
     entry = F.when(F.col("field").isNotNull(), F.struct("field", F.col("k.kind").alias("kind")))
     return best.groupBy("feed_id", "file_id").agg(F.min("delivered_at").alias("delivered_at"), F.sort_array(F.collect_list(entry)).alias("fields"))
 
 
+def alternatives(feed: DataFrame, **names: str) -> DataFrame:
+    """Alternatives that appear: `(feed_id, path, kind, usual, file_id, files, values)`.
+
+    A path's usual kind is the most frequent in the feed's first file that has a non-null value there
+    (of equally frequent ones the first by name). Every other kind the path ever has in the feed gives
+    a row with the file it appears in first, and the files and values that have it. Paths within
+    objects and arrays count like fields.
+    """
+    found = materialize(unions(feed, **names), "unions").where("kind is not null")
+    at = F.struct("delivered_at", "file_id")
+    per = found.groupBy("feed_id", "path", "kind").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("files"), F.sum("n").alias("values"))
+    usual = found.groupBy("feed_id", "path").agg(F.min(F.struct("delivered_at", "file_id", -F.col("n"), "kind")).alias("u")).select("feed_id", "path", F.col("u.kind").alias("usual"))
+    return per.join(usual, ["feed_id", "path"]).where("kind <> usual").select("feed_id", "path", "kind", "usual", "first.file_id", "files", "values")
+
+
 def _neighbours(schemas: DataFrame) -> DataFrame:
     """Each file but its feed's first with the file before it and what stayed, went and came."""
     w = Window.partitionBy("feed_id").orderBy("delivered_at", "file_id")
@@ -93,23 +162,29 @@ def _renames(feed: DataFrame, pairs: DataFrame, least: float) -> DataFrame:
     roles = role("old_file", "old", "gone").unionByName(role("file_id", "new", "come"))
     # values are only read of the files that take part
     own = (F.col("file_id") == F.col("of_file")) & (F.col("feed_id") == F.col("pair_feed"))
-    met = feed.select("file_id", "feed_id", "payload").join(roles, own).withColumn("cells", _cells("payload")).drop("payload")
+    met = spread(feed.select("file_id", "feed_id", "payload")).join(broadcast_if_small(roles, MAX_FILES), own).withColumn("cells", _cells("payload")).drop("payload")
     solid = F.filter("cells", lambda c: c["kind"].isNotNull())
-    stay = F.sort_array(F.transform(F.filter(solid, lambda c: F.array_contains("steady", c["field"])), lambda c: F.to_json(F.struct(c["field"], c["value"]))))
+    stay = F.transform(F.filter(solid, lambda c: F.array_contains("steady", c["field"])), lambda c: F.xxhash64(c["field"], c["value"]))
     seen = F.sort_array(F.transform(F.filter(solid, lambda c: F.array_contains("looked", c["field"])), lambda c: F.struct(c["field"].alias("field"), c["kind"].alias("kind"), c["value"].alias("value"))))
-    signed = met.select("pair_feed", "pair", "side", F.size("steady").alias("width"), stay.alias("stay"), F.struct(F.xxhash64(F.to_json(stay), F.to_json(seen)).alias("key"), seen.alias("seen")).alias("row"))
-    # single values and pairs of values that only one record of each file has tie the records
-    marks = F.concat("stay", F.flatten(F.transform("stay", lambda x, i: F.transform(F.slice("stay", i + 2, F.size("stay")), lambda y: F.concat(x, y)))))
-    tokens = signed.select("pair_feed", "pair", "side", "width", "row", F.explode(F.transform(marks, lambda m: F.xxhash64(m))).alias("mark"))
-    of = lambda s, agg: agg(F.when(F.col("side") == s, F.col("row"))).alias(f"{s}_{agg.__name__}")
+    # rows alike in all of these fields are one record; four branches read them, so they are written once
+    signed = met.select("pair_feed", "pair", "side", F.size("steady").alias("width"), stay.alias("stay"), seen.alias("seen"))
+    signed = materialize(signed.withColumn("record", F.xxhash64("stay", "seen")).dropDuplicates(["pair_feed", "pair", "side", "record"]), "records")
+    # all values together, all but one, and each alone: marks that only one record of each file has tie the records
+    whole = F.aggregate("stay", F.lit(0).cast("long"), lambda acc, h: acc.bitwiseXOR(h))
+    mark = lambda kind, h: F.struct(F.lit(kind).alias("alone"), h.alias("hash"))
+    marks = F.concat(F.array(mark(False, F.col("whole"))), F.transform("stay", lambda h: mark(False, F.col("whole").bitwiseXOR(h))), F.transform("stay", lambda h: mark(True, h)))
+    tokens = signed.where(F.size("stay") > 0).withColumn("whole", whole).select("pair_feed", "pair", "side", "width", "record", F.explode(F.array_distinct(marks)).alias("mark"))
+    of = lambda s, agg: agg(F.when(F.col("side") == s, F.col("record"))).alias(f"{s}_{agg.__name__}")
     met_by = tokens.groupBy("pair_feed", "pair", "mark").agg(F.first("width").alias("width"), of("old", F.min), of("old", F.max), of("new", F.min), of("new", F.max))
-    ties = met_by.where((F.col("old_min.key") == F.col("old_max.key")) & (F.col("new_min.key") == F.col("new_max.key")))
-    votes = ties.groupBy("pair_feed", "pair", F.col("old_min.key").alias("old_key"), F.col("new_min.key").alias("new_key")).agg(
-        F.count(F.lit(1)).alias("votes"), F.first("width").alias("width"), F.first("old_min.seen").alias("old_min"), F.first("new_min.seen").alias("new_min")
+    ties = met_by.where((F.col("old_min") == F.col("old_max")) & (F.col("new_min") == F.col("new_max")))
+    votes = ties.groupBy("pair_feed", "pair", F.col("old_min").alias("old_key"), F.col("new_min").alias("new_key")).agg(
+        F.count_if(~F.col("mark.alone")).alias("together"), F.count_if("mark.alone").alias("single"), F.first("width").alias("width")
     )
-    by = lambda key: F.row_number().over(Window.partitionBy("pair_feed", "pair", key).orderBy(F.desc("votes"), "old_key", "new_key"))
-    enough = votes.where((F.col("votes") >= F.col("width")) | (F.col("width") < 3)).withColumn("ra", by("old_key")).withColumn("rb", by("new_key"))
-    sure = enough.where((F.col("ra") == 1) & (F.col("rb") == 1))
+    by = lambda key: F.row_number().over(Window.partitionBy("pair_feed", "pair", key).orderBy(F.desc("together"), F.desc("single"), "old_key", "new_key"))
+    enough = votes.where((F.col("together") > 0) | (F.col("single") > 1) | (F.col("width") < 3)).withColumn("ra", by("old_key")).withColumn("rb", by("new_key"))
+    tied = enough.where((F.col("ra") == 1) & (F.col("rb") == 1)).select("pair_feed", "pair", "old_key", "new_key")
+    side = lambda name: signed.where(F.col("side") == name).select("pair_feed", "pair", F.col("record").alias(f"{name}_key"), F.col("seen").alias(f"{name}_min"))
+    sure = tied.join(side("old"), ["pair_feed", "pair", "old_key"]).join(side("new"), ["pair_feed", "pair", "new_key"])
     linked = sure.join(both.select(F.col("feed_id").alias("pair_feed"), F.col("file_id").alias("pair"), "gone", "come"), ["pair_feed", "pair"])
     one = linked.select("pair_feed", "pair", "old_min", "new_min", F.explode("gone").alias("old_field"), "come").select("*", F.explode("come").alias("new_field"))
     cell = lambda side, f: F.get(F.filter(side, lambda c: c["field"] == F.col(f)), F.lit(0))
@@ -140,7 +215,7 @@ def schema_changes(feed: DataFrame, feed_id: str = "feed_id", file_id: str = "fi
     columns are not read.
     """
     rows = feed.select(F.col(feed_id).alias("feed_id"), F.col(file_id).alias("file_id"), F.col(delivered_at).alias("delivered_at"), F.col(payload).alias("payload"))
-    pairs = _neighbours(file_schemas(rows))
+    pairs = materialize(_neighbours(file_schemas(unions(rows))), "schemas")  # read by each of the steps below
     renames = _renames(rows, pairs, least)
     named = renames.groupBy("feed_id", "file_id").agg(F.collect_list(F.struct("old_field", "new_field")).alias("renamed"))
     full = pairs.join(named, ["feed_id", "file_id"], "left").withColumn("renamed", F.coalesce("renamed", F.array().cast("array<struct<old_field:string,new_field:string>>")))

@@ -25,6 +25,21 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.schema_changes(table(spark, sf_dir, "feed_rows"))
 
 
+# DuckDB numbers array places and quotes odd names in its keys; the fields of the feeds have plain names
+_PATH = r"regexp_replace(substr(t.fullkey, 3), '\[[0-9]+\]', '[]', 'g')"
+
+
+@query(f"""
+WITH t AS (SELECT f.feed_id, f.file_id, f.delivered_at, {_PATH} AS path, CASE t.type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'array' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS kind
+  FROM (SELECT * FROM feed_rows WHERE json_valid(payload) AND json_type(payload) = 'OBJECT') f, json_tree(f.payload) t WHERE t.type <> 'NULL' AND t.fullkey <> '$'),
+n AS (SELECT feed_id, file_id, delivered_at, path, kind, count(*) AS n FROM t GROUP BY ALL),
+u AS (SELECT feed_id, path, arg_min(kind, struct_pack(a := delivered_at, b := file_id, c := -n, d := kind)) AS usual FROM n GROUP BY ALL)
+SELECT n.feed_id, n.path, n.kind, u.usual, arg_min(n.file_id, struct_pack(a := n.delivered_at, b := n.file_id)) AS file_id, count(*) AS files, sum(n.n)::BIGINT AS "values"
+FROM n JOIN u ON n.feed_id = u.feed_id AND n.path = u.path WHERE n.kind <> u.usual GROUP BY n.feed_id, n.path, n.kind, u.usual""")
+def p3_alternatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drift.alternatives(table(spark, sf_dir, "feed_rows"))
+
+
 # Names under which the two families deliver their keys and companions (lower case, without `_`).
 CASE_FIELDS = {
     "primaryid": "primaryid", "isr": "primaryid", "reportno": "primaryid",

@@ -1,7 +1,7 @@
 import json
 from datetime import datetime, timedelta
 
-from lodestone.operators.drift import canonical_value, chained, file_schemas, schema_changes, unified
+from lodestone.operators.drift import alternatives, canonical_value, chained, file_schemas, schema_changes, unified, unions
 from pyspark.sql import functions as F
 
 SCHEMA = "feed_id bigint, file_id bigint, delivered_at timestamp, row_no int, payload string"
@@ -59,7 +59,7 @@ def test_edges(spark):
     data = feed([None, "{broken", "[1]", {"a": None}], [{"a": 1}], [])
     assert changes(spark, data) == []
     assert changes(spark, feed(people(2)) + feed(people(1), feed_id=2)) == []
-    assert spark.createDataFrame(data, SCHEMA).transform(file_schemas).count() == 2
+    assert spark.createDataFrame(data, SCHEMA).transform(unions).transform(file_schemas).count() == 2
     assert schema_changes(spark.createDataFrame([], SCHEMA)).count() == 0
     twice = feed(people(6), [*people(6), *people(6)])
     assert changes(spark, twice) == []
@@ -90,3 +90,11 @@ def test_renames_lead_unlisted_names_to_their_column(spark):
     assert fields == {"id": "key", "name": "name", "primaryno": "key", "keyofreport": "key"}
     assert unified(data, fields).where("key is null").count() == 0
     assert chained(data.limit(0), {"id": "key"}) == {"id": "key"}
+
+
+def test_alternatives_keep_minority_kinds_and_inner_paths(spark):
+    data = feed(['{"a": 1, "b": {"c": [1, "x"], "d": null}}', '{"a": 2}', "no json", None], ['{"a": "n/a", "b": {"c": [2.5], "d": true}}', '{"a": 3, "b": [1]}'], ['{"a": "?"}'])
+    found = alternatives(spark.createDataFrame(data, SCHEMA).selectExpr("*", "1 AS n", "'x' AS path"))
+    got = {(r["path"], r["kind"], r["usual"], r["files"], r["values"]) for r in found.collect()}
+    assert got == {("a", "string", "number", 2, 2), ("b", "array", "object", 1, 1), ("b.c[]", "string", "number", 1, 1)}
+    assert alternatives(spark.createDataFrame(data, SCHEMA).limit(0)).count() == 0
