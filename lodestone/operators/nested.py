@@ -116,7 +116,11 @@ def emit_objects(records: DataFrame, record_id: str = "record_id", payload: str
 
 
 def flat_tables(objects: DataFrame, tables: Mapping[str, str] = LABEL_TABLES) -> dict[str, DataFrame]:
-    """Of emitted objects, one typed table per tag: record_id, path, parent_path and its columns."""
+    """Of emitted objects, one typed table per tag: record_id, path, parent_path and its columns.
+
+    Each table selects its tag, so objects should be a written table (see stored_tables): partitioned
+    by tag, a table then reads its own rows only.
+    """
     out = {}
     for tag, schema in tables.items():
         own = objects.where(F.col("kind") == tag)
@@ -125,5 +129,11 @@ def flat_tables(objects: DataFrame, tables: Mapping[str, str] = LABEL_TABLES) ->
 
 
 def write_tables(objects: DataFrame, path: str) -> None:
-    """Writes emitted objects once, partitioned by tag; each tag is then read back on its own."""
+    """Writes emitted objects once, partitioned by tag."""
     objects.write.mode("overwrite").partitionBy("kind").parquet(path)
+
+
+def stored_tables(objects: DataFrame, path: str, tables: Mapping[str, str] = LABEL_TABLES) -> dict[str, DataFrame]:
+    """flat_tables() of the objects as written to `path`: one pass over the records for all tables."""
+    write_tables(objects, path)
+    return flat_tables(objects.sparkSession.read.schema(objects.schema).parquet(path), tables)

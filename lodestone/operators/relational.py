@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import scalars as S
-from lodestone.runtime import materialize
 
 
 def without_deleted(rows: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -151,13 +150,13 @@ def dictionary_matches(texts: DataFrame, text: str, terms: DataFrame, term: str,
     """texts with `matches`: the dictionary rows whose term is a plain substring (any case), in dictionary order.
 
     Each distinct text is scanned once by an automaton over all terms, so the cost does not grow with
-    their number. The dictionary goes to every worker; one of more than `most` rows is refused. Null
-    texts get null, texts without a term an empty array.
+    their number. The dictionary goes to every worker if it has at most `most` rows; a longer one is
+    joined (dictionary_joins). Null texts get null, texts without a term an empty array.
     """
     names = [c for c in terms.columns if c != ordinal]
     entries = terms.select(F.col(ordinal).cast("long").alias("ordinal"), *[F.col(c).cast("string") for c in names]).where(F.coalesce(F.col(term), F.lit("")) != "").limit(most + 1).collect()
     if len(entries) > most:
-        raise ValueError(f"a dictionary of more than {most} rows is not shipped to the workers")
+        return dictionary_joins(texts, text, terms, term, ordinal)
     listed = [r.asDict() for r in sorted(entries, key=lambda r: r["ordinal"])]
     by_word: dict[str, list[int]] = {}
     for i, e in enumerate(listed):
@@ -185,21 +184,44 @@ def dictionary_matches(texts: DataFrame, text: str, terms: DataFrame, term: str,
     return texts.join(hits, F.col(text) == F.col("__t"), "left").drop("__t")
 
 
-def merged_edges(rows: DataFrame, keys: Sequence[str], unions: Sequence[str], maxima: Sequence[str] = (), firsts: Sequence[str] = (), order: Sequence[str] = ()) -> DataFrame:
-    """One row per key: arrays united, sorted and distinct; greatest scores; first non-blank by order.
+def merged_edges(rows: DataFrame, keys: Sequence[str], unions: Sequence[str], maxima: Sequence[str] = (), firsts: Sequence[str] = (), order: Sequence[str] = (), leads: Sequence[str] = ()) -> DataFrame:
+    """One row per key: arrays united, sorted and distinct; greatest scores; `firsts` non-blank and `leads` even if blank, by order.
 
-    Array elements are exploded into (key, element) pairs and made distinct before they are gathered,
-    so that a hot key gathers its distinct values only. Each array is its own pass, so the rows are
-    written once when there are several.
+    All arrays are exploded at once into tagged elements, made distinct with map-side combine and then
+    gathered, so that a hot key gathers its distinct values only. Rows with null keys have a key of
+    their own; blank elements go.
     """
-    if len(unions) > 1:
-        rows = materialize(rows.select(*dict.fromkeys([*keys, *unions, *maxima, *firsts, *order])), "edges")
-    united = [
-        rows.select(*keys, F.explode(F.col(u)).alias("v")).where("v is not null and v <> ''").distinct().groupBy(*keys).agg(F.array_sort(F.collect_list("v")).alias(u)) for u in unions
-    ]
-    rank = F.struct(*[F.col(o) for o in order]) if order else None
-    aggs = [F.max(m).alias(m) for m in maxima]
-    aggs += [F.min_by(F.when(F.col(f) != "", F.col(f)), F.when(F.col(f) != "", rank)).alias(f) if rank is not None else F.min(F.when(F.col(f) != "", F.col(f))).alias(f) for f in firsts]
-    base = rows.groupBy(*keys).agg(*aggs) if aggs else rows.select(*keys).distinct()
-    out = reduce(lambda a, b: a.join(b, list(keys), "left"), united, base)
-    return out.select(*keys, *maxima, *[F.coalesce(F.col(f), F.lit("")).alias(f) for f in firsts], *[F.coalesce(F.col(u), F.array().cast("array<string>")).alias(u) for u in unions])
+    none = F.struct(F.lit(-1).alias("tag"), F.lit("").alias("v"))
+    element = lambda i: lambda v: F.struct(F.lit(i).alias("tag"), v.alias("v"))
+    tagged = [F.transform(F.coalesce(F.col(u), F.array().cast("array<string>")), element(i)) for i, u in enumerate(unions)]
+    rank = [F.col(o).alias(f"__{o}") for o in order]
+    best = lambda f: F.min(F.when((F.col(f) != "") | F.lit(f in leads), F.struct(*rank, F.col(f).alias("value"))))
+    firsts = [*firsts, *leads]
+    one = rows.select("*", F.explode(F.concat(F.array(none), *tagged)).alias("__x")).where("__x.tag < 0 or (__x.v is not null and __x.v <> '')")
+    one = one.groupBy(*keys, F.col("__x.tag").alias("__tag"), F.col("__x.v").alias("__v")).agg(F.lit(True).alias("__one"), *[F.max(m).alias(m) for m in maxima], *[best(f).alias(f) for f in firsts])
+    gather = lambda i: F.array_sort(F.collect_list(F.when(F.col("__tag") == i, F.col("__v"))))
+    out = one.groupBy(*keys).agg(*[F.max(m).alias(m) for m in maxima], *[F.min(f).alias(f) for f in firsts], *[gather(i).alias(u) for i, u in enumerate(unions)], F.count(F.lit(1)).alias("__n"))
+    return out.select(*keys, *maxima, *[F.coalesce(F.col(f"{f}.value"), F.lit("")).alias(f) for f in firsts], *unions)
+
+
+def dictionary_joins(texts: DataFrame, text: str, terms: DataFrame, term: str, ordinal: str, gram: int = 3) -> DataFrame:
+    """dictionary_matches() for a dictionary of any size, by joins alone.
+
+    A text can only hold a term if it holds the term's rarest gram; terms shorter than a gram are
+    looked for by all their grams of their own length. Distinct texts give their distinct grams, which
+    meet the terms by an equality join; `instr` verifies.
+    """
+    names = [c for c in terms.columns if c != ordinal]
+    low = terms.where(F.coalesce(F.col(term), F.lit("")) != "").select(F.lower(term).alias("__w"), F.struct(F.col(ordinal).cast("long").alias("ordinal"), *[F.col(c).cast("string").alias(c) for c in names]).alias("__m"))
+    low = low.withColumn("__k", F.least(F.length("__w"), F.lit(gram)))
+    grams = lambda c, k: F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - k + 1), lambda i: F.substring(c, i, k)))
+    every = low.select("__w", "__k", F.explode(grams(F.col("__w"), F.col("__k"))).alias("__g")).distinct()
+    often = every.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
+    rare = every.join(often, "__g").groupBy("__w").agg(F.min(F.struct("__n", "__g")).alias("__r")).select("__w", F.col("__r.__g").alias("__g"))
+    one = texts.select(F.col(text).alias("__t")).where("__t is not null").distinct()
+    sizes = F.array(*[F.lit(k) for k in range(1, gram + 1)])
+    own = one.select("__t", F.lower("__t").alias("__l")).select("__t", "__l", F.explode(sizes).alias("__k")).where(F.length("__l") >= F.col("__k")).select("__t", "__l", F.explode(grams(F.col("__l"), F.col("__k"))).alias("__g"))
+    met = own.join(rare, "__g").where(F.instr(F.col("__l"), F.col("__w")) > 0).join(low.select("__w", "__m"), "__w")
+    hits = met.groupBy("__t").agg(F.array_sort(F.collect_set("__m")).alias("__ms"))
+    empty = F.array().cast(hits.schema["__ms"].dataType)
+    return texts.join(hits, F.col(text) == F.col("__t"), "left").withColumn("matches", F.when(F.col(text).isNotNull(), F.coalesce("__ms", empty))).drop("__t", "__ms")

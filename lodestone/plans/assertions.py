@@ -28,7 +28,7 @@ Miner = Callable[[str], list[dict]]
 class LabelEvidence:
     """The label tables in joinable form; nothing is collected."""
 
-    approvals: DataFrame  # norm, spl_set_id, display
+    approvals: DataFrame  # norm, spl_set_id, display, place
     ingredients: DataFrame  # spl_set_id, name, unii: distinct active ingredients
     singles: DataFrame  # the same, of labels with exactly one
     sections: DataFrame  # spl_set_id, doc_id, loinc_code, text, ordinal
@@ -39,13 +39,14 @@ def label_evidence(approvals: DataFrame, ingredients: DataFrame, sections: DataF
 
     An approval shows as type and number. An ingredient counts once per label, name (any case) and
     code, under the name at the first place (ordinal, at) if the table has places; a label is single
-    if it has one such ingredient.
+    if it has one such ingredient. Places also decide which approval of a number comes first.
     """
+    place = lambda df, name: F.struct(*[F.col(c) for c in ("ordinal", "at") if c in df.columns], F.col(name))
     norm = S.application_key(F.coalesce(F.nullif(S.stripped(F.col("approval_id")), F.lit("")), F.col("approval_code")))
     base = F.coalesce(F.nullif(S.stripped(F.col("approval_id")), F.lit("")), S.stripped(F.col("approval_code")))
-    a = approvals.select(norm.alias("norm"), S.stripped(F.col("spl_set_id")).alias("spl_set_id"), F.when(base != "", F.concat(S.stripped(F.col("approval_type")), base)).alias("display"))
-    a = a.where("norm <> '' and spl_set_id <> ''").withColumn("display", F.coalesce("display", "norm")).distinct()
-    i = ingredients.where(F.lower(S.stripped(F.col("role"))) == "active").select(S.stripped(F.col("spl_set_id")).alias("spl_set_id"), S.stripped(F.col("ingredient_name")).alias("name"), S.stripped(F.col("ingredient_unii")).alias("unii"), F.struct(*[F.col(c) for c in ("ordinal", "at") if c in ingredients.columns], F.col("ingredient_name")).alias("place"))
+    a = approvals.select(norm.alias("norm"), S.stripped(F.col("spl_set_id")).alias("spl_set_id"), F.when(base != "", F.concat(S.stripped(F.col("approval_type")), base)).alias("display"), place(approvals, "approval_id").alias("place"))
+    a = a.where("norm <> '' and spl_set_id <> ''").withColumn("display", F.coalesce("display", "norm")).groupBy("norm", "spl_set_id", "display").agg(F.min("place").alias("place"))
+    i = ingredients.where(F.lower(S.stripped(F.col("role"))) == "active").select(S.stripped(F.col("spl_set_id")).alias("spl_set_id"), S.stripped(F.col("ingredient_name")).alias("name"), S.stripped(F.col("ingredient_unii")).alias("unii"), place(ingredients, "ingredient_name").alias("place"))
     i = i.where("spl_set_id <> '' and name <> ''").groupBy("spl_set_id", F.lower("name").alias("fold"), "unii").agg(F.min_by("name", "place").alias("name")).drop("fold")
     count = i.groupBy("spl_set_id").agg(F.count(F.lit(1)).alias("n"))
     singles = i.join(count.where("n = 1"), "spl_set_id").drop("n")
@@ -66,41 +67,61 @@ def _dictionary_object(rows: DataFrame, text: str, terms: DataFrame) -> DataFram
     ).withColumn("object_category", F.coalesce(first["category"], F.lit("Disease")))
 
 
-def case_candidates(cases: DataFrame, terms: DataFrame, quarter_urls: DataFrame | None = None) -> DataFrame:
-    """`(norm, object_text, object_curie, object_name, object_category, fallback, records, urls)` per number and indication.
+def case_pairs(cases: DataFrame, quarter_urls: DataFrame | None = None, numbers: DataFrame | None = None) -> DataFrame:
+    """`(norm, object_text, fallback, records, urls)` per number and indication, of the given numbers only if there are any.
 
-    The fallback subject is that of the first report by (primaryid, drug_seq, record id). Placeholder
-    indications and blank keys go. quarter_urls `(quarter, url)` overrides the derived URLs.
+    The fallback subject is that of the first report by (primaryid, drug_seq, record id), even if it is
+    blank. Placeholder indications and blank keys go. quarter_urls `(quarter, url)` overrides the
+    derived URLs.
     """
     col = lambda c: S.text(F.col(c)) if c in cases.columns else F.lit("")
     rows = cases.select(
         S.application_key(F.when(col("nda") != "", col("nda")).otherwise(col("nda_raw"))).alias("norm"), S.stripped(col("indication")).alias("object_text"),
-        S.stripped(F.when(col("ingredient") != "", col("ingredient")).otherwise(col("drugname"))).alias("subject"), F.upper(S.stripped(col("quarter"))).alias("quarter"),
+        S.stripped(F.when(col("ingredient") != "", col("ingredient")).otherwise(col("drugname"))).alias("fallback"), F.upper(S.stripped(col("quarter"))).alias("quarter"),
         S.stripped(col("primaryid")).alias("primaryid"), S.stripped(col("source_record_id")).alias("record"), col("drug_seq").alias("seq"),
     ).where("norm <> '' and object_text <> ''").where(~S.is_placeholder(F.col("object_text")))
+    if numbers is not None:
+        rows = rows.join(numbers, "norm", "left_semi")
     url = F.when((F.col("quarter") != "") & (F.col("primaryid") != ""), S.quarter_url(F.col("quarter")))
     if quarter_urls is not None:
         rows = rows.join(quarter_urls.select("quarter", F.col("url").alias("known")), "quarter", "left")
         url = F.when((F.col("quarter") != "") & (F.col("primaryid") != ""), F.coalesce("known", S.quarter_url(F.col("quarter"))))
-    rows = materialize(rows.select("*", F.array("record").alias("records"), F.array(url).alias("urls")), "candidates")
-    one = R.merged_edges(rows, ["norm", "object_text"], ["records", "urls"])
-    lead = rows.groupBy("norm", "object_text").agg(R.first_by(F.col("subject"), F.col("primaryid"), F.col("seq"), F.col("record"), F.col("subject")).alias("fallback"))
-    return _dictionary_object(one.join(lead, ["norm", "object_text"]), "object_text", terms).drop("matches", "object_term")
+    rows = rows.select("*", F.array("record").alias("records"), F.array(url).alias("urls"))
+    return R.merged_edges(rows, ["norm", "object_text"], ["records", "urls"], leads=["fallback"], order=["primaryid", "seq", "record"])
+
+
+def case_candidates(cases: DataFrame, terms: DataFrame, quarter_urls: DataFrame | None = None, numbers: DataFrame | None = None) -> DataFrame:
+    """case_pairs() with the object's dictionary entry: `(norm, object_text, object_curie, object_name, object_category, fallback, records, urls)`."""
+    return _dictionary_object(case_pairs(cases, quarter_urls, numbers), "object_text", terms).drop("matches", "object_term")
+
+
+def mapped_numbers(products: DataFrame) -> DataFrame:
+    """`norm`: numbers of products with an ingredient (the first gate)."""
+    return products.where(S.stripped(F.col("active_ingredient")) != "").select(S.application_key(F.col("appl_no_stripped")).alias("norm")).where("norm <> ''").distinct()
+
+
+def backed_numbers(evidence: LabelEvidence) -> DataFrame:
+    """`norm`: numbers of labels with an indication section (the second and third gate)."""
+    indicated = evidence.sections.where("loinc_code = '34067-9'").select("spl_set_id").distinct()
+    return evidence.approvals.join(indicated, "spl_set_id", "left_semi").select("norm").distinct()
 
 
 def label_candidates(evidence: LabelEvidence, terms: DataFrame, miner: Miner | None = None) -> DataFrame:
     """Candidates without a case table: dictionary terms and mentions in indication sections of approved labels."""
     docs = evidence.sections.where("loinc_code = '34067-9'").join(evidence.approvals.select("spl_set_id", "norm").distinct(), "spl_set_id")
     hits = R.dictionary_matches(docs, "text", terms, "term", "ordinal")
-    named = hits.select("norm", F.explode("matches").alias("x")).select("norm", F.col("x.term").alias("object_text"), F.col("x.curie").alias("object_curie"), F.col("x.name").alias("object_name"), F.col("x.category").alias("object_category"))
+    at = ["spl_set_id", "doc_id", "section_id"]
+    named = hits.select("norm", *at, F.explode("matches").alias("x")).select("norm", *at, F.col("x.ordinal").alias("rank"), F.col("x.term").alias("object_text"), F.col("x.curie").alias("object_curie"), F.col("x.name").alias("object_name"), F.col("x.category").alias("object_category"))
     if miner is not None:
         found = T.mined(hits, "text", miner)
         known = F.transform("matches", lambda x: S.normalize_text(x["term"]))
-        said = found.select("norm", known.alias("known"), F.explode("mentions").alias("m")).select("norm", "known", S.normalize_text(F.col("m.text")).alias("object_text"))
-        said = said.where((F.col("object_text") != "") & ~F.array_contains("known", F.col("object_text"))).select("norm", "object_text").distinct()
+        behind = F.lit(1 << 40) + F.col("m.start")  # mentions come after a section's dictionary terms
+        said = found.select("norm", *at, known.alias("known"), F.explode("mentions").alias("m")).select("norm", *at, "known", behind.alias("rank"), S.normalize_text(F.col("m.text")).alias("object_text"))
+        said = said.where((F.col("object_text") != "") & ~F.array_contains("known", F.col("object_text"))).drop("known")
         named = named.unionByName(_dictionary_object(said, "object_text", terms).drop("matches", "object_term"))
     empty = F.array().cast("array<string>")
-    return named.dropDuplicates(["norm", "object_text"]).select("*", F.lit("").alias("fallback"), empty.alias("records"), empty.alias("urls"))
+    first = R.keep_first(named, ["norm", "object_text"], [*at, "rank"]).drop(*at, "rank")
+    return first.select("*", F.lit("").alias("fallback"), empty.alias("records"), empty.alias("urls"))
 
 
 def corroborated(candidates: DataFrame, evidence: LabelEvidence, terms: DataFrame, miner: Miner | None = None) -> DataFrame:
@@ -144,16 +165,16 @@ def approved_treats(candidates: DataFrame, evidence: LabelEvidence, products: Da
 
     Gates in order: the number is that of a product with an ingredient; it has a label with an
     indication section; the section names the condition; there is a subject. The subject is the
-    ingredient of the first supporting label with a single one, else the report's own.
+    ingredient of the first supporting label with a single one, else the report's own. Candidates are
+    best made of the numbers that pass the first gates (approved_from_cases does so).
     """
-    known = products.where(S.stripped(F.col("active_ingredient")) != "").select(S.application_key(F.col("appl_no_stripped")).alias("norm")).where("norm <> ''").distinct()
-    passed = candidates.join(known, "norm", "left_semi")
+    passed = candidates.join(mapped_numbers(products), "norm", "left_semi")
     support = corroborated(passed, evidence, terms, miner)
     single = evidence.singles.select("spl_set_id", F.struct("name", "unii").alias("drug"))
     gathered = support.join(single, "spl_set_id", "left").groupBy("norm", "object_text").agg(
         F.collect_set("spl_set_id").alias("sets"), F.array_distinct(F.flatten(F.collect_list("docs"))).alias("docs"), F.min_by("drug", F.when(F.col("drug").isNotNull(), F.col("spl_set_id"))).alias("drug")
     )
-    display = evidence.approvals.groupBy("norm").agg(F.min("display").alias("display"))
+    display = evidence.approvals.groupBy("norm").agg(F.min_by("display", F.struct("place", "display")).alias("display"))
     full = passed.join(gathered, ["norm", "object_text"]).join(display, "norm", "left")
     full = full.withColumn("subject_text", F.coalesce("drug.name", S.stripped(F.col("fallback")))).withColumn("subject_curie", F.coalesce("drug.unii", F.lit(""))).where("subject_text <> ''")
     full = full.withColumn("approval", F.array(F.coalesce("display", "norm")))
@@ -167,14 +188,27 @@ def approved_treats(candidates: DataFrame, evidence: LabelEvidence, products: Da
     return conform(out, APPROVED)
 
 
-def gate_counts(candidates: DataFrame, evidence: LabelEvidence, products: DataFrame, terms: DataFrame) -> DataFrame:
-    """How many candidates fall at each gate, counted at the first they fail: `(gate, candidates)`."""
-    known = products.where(S.stripped(F.col("active_ingredient")) != "").select(S.application_key(F.col("appl_no_stripped")).alias("norm")).distinct().withColumn("mapped", F.lit(True))
-    indicated = evidence.sections.where("loinc_code = '34067-9'").select("spl_set_id").distinct()
-    backed = evidence.approvals.join(indicated, "spl_set_id", "left_semi").select("norm").distinct().withColumn("backed", F.lit(True))
-    named = corroborated(candidates, evidence, terms).select("norm", "object_text").distinct().withColumn("named", F.lit(True))
-    rows = candidates.join(known, "norm", "left").join(backed, "norm", "left").join(named, ["norm", "object_text"], "left")
-    gate = F.when(F.col("mapped").isNull(), "no_product").when(F.col("backed").isNull(), "no_label").when(F.col("named").isNull(), "not_named").otherwise("passed")
+def approved_from_cases(cases: DataFrame, evidence: LabelEvidence, products: DataFrame, terms: DataFrame, miner: Miner | None = None, quarter_urls: DataFrame | None = None) -> DataFrame:
+    """approved_treats() of a case table: only rows whose number passes the first gates are grouped and looked up."""
+    numbers = mapped_numbers(products).join(backed_numbers(evidence), "norm", "left_semi")
+    return approved_treats(materialize(case_candidates(cases, terms, quarter_urls, numbers), "candidates"), evidence, products, terms, miner)
+
+
+def gate_counts(cases: DataFrame, evidence: LabelEvidence, products: DataFrame, terms: DataFrame, miner: Miner | None = None) -> DataFrame:
+    """How many candidates of a case table fall at each gate, counted at the first they fail: `(gate, candidates)`.
+
+    Conditions are looked up only for those that pass the gates on numbers.
+    """
+    flag = lambda df, name: df.withColumn(name, F.lit(True))
+    pairs = materialize(case_pairs(cases).join(flag(mapped_numbers(products), "mapped"), "norm", "left").join(flag(backed_numbers(evidence), "backed"), "norm", "left"), "candidates")
+    open_pairs = _dictionary_object(pairs.where("mapped and backed").select("norm", "object_text"), "object_text", terms).drop("matches", "object_term")
+    support = corroborated(open_pairs, evidence, terms, miner).join(flag(evidence.singles.select("spl_set_id").distinct(), "single"), "spl_set_id", "left")
+    named = support.groupBy("norm", "object_text").agg(F.lit(True).alias("named"), F.bool_or(F.col("single").isNotNull()).alias("single"))
+    rows = pairs.join(named, ["norm", "object_text"], "left")
+    gate = (
+        F.when(F.col("mapped").isNull(), "no_product").when(F.col("backed").isNull(), "no_label").when(F.col("named").isNull(), "not_named")
+        .when(~F.col("single") & (S.stripped(F.col("fallback")) == ""), "no_subject").otherwise("passed")
+    )
     return rows.groupBy(gate.alias("gate")).agg(F.count(F.lit(1)).alias("candidates"))
 
 
@@ -195,14 +229,15 @@ def observed_uses(cases: DataFrame, terms: DataFrame, approved: DataFrame | None
     if quarter_urls is not None:
         rows = rows.join(quarter_urls.select("quarter", F.col("url").alias("known")), "quarter", "left")
         url = F.coalesce("known", url)
-    rows = rows.withColumn("url", F.when((F.col("quarter") != "") & (F.col("primaryid") != ""), url)).withColumn("norm", S.application_key(F.col("raw")))
-    rows = materialize(rows, "observed")
-    # distinct by pre-aggregation: ids first, so that no group gathers its rows
-    ids = rows.groupBy(*pair, "primaryid").agg(F.count(F.lit(1)).alias("n"))
-    counts = ids.groupBy(*pair).agg((F.count_if(F.col("primaryid") != "") + F.sum(F.when(F.col("primaryid") == "", F.col("n")).otherwise(0))).alias("case_count"))
-    lists = R.merged_edges(rows.select(*pair, F.array("record").alias("records"), F.array("url").alias("urls")), pair, ["records", "urls"])
-    numbers = R.min_raw_per_key(rows, pair, F.col("norm"), F.col("raw"), "approval")
-    full = counts.join(lists, pair).join(numbers, pair, "left")
+    rows = rows.withColumn("url", F.when((F.col("quarter") != "") & (F.col("primaryid") != ""), url))
+    # one tagged element per column, distinct with map-side combine, then gathered: two aggregations in all
+    element = lambda tag, v, raw: F.struct(F.lit(tag).alias("tag"), v.alias("v"), raw.alias("raw"))
+    none = F.lit(None).cast("string")
+    elements = F.array(element("id", F.col("primaryid"), none), element("record", F.col("record"), none), element("url", F.col("url"), none), element("number", S.application_key(F.col("raw")), F.col("raw")))
+    one = rows.select(*pair, F.explode(elements).alias("x")).where("x.tag = 'id' or x.v <> ''").groupBy(*pair, "x.tag", "x.v").agg(F.count(F.lit(1)).alias("n"), F.min("x.raw").alias("raw"))
+    of = lambda tag, c: F.array_sort(F.collect_set(F.when(F.col("tag") == tag, F.col(c))))
+    anonymous = F.coalesce(F.sum(F.when((F.col("tag") == "id") & (F.col("v") == ""), F.col("n"))), F.lit(0))
+    full = one.groupBy(*pair).agg((F.count_if((F.col("tag") == "id") & (F.col("v") != "")) + anonymous).alias("case_count"), of("record", "v").alias("records"), of("url", "v").alias("urls"), of("number", "raw").alias("approval"))
     full = _dictionary_object(full, "indication", terms)
     if miner is not None:
         missed = full.where("object_term is null").select(S.normalize_text(F.col("indication")).alias("key")).where("key <> ''").distinct()
@@ -219,7 +254,7 @@ def observed_uses(cases: DataFrame, terms: DataFrame, approved: DataFrame | None
         status = F.when(F.col("__is"), "approved_for_condition").otherwise("off_label_use")
     out = full.withColumns({
         "subject_curie": F.lit(""), "subject_name": F.col("subject_text"), "subject_category": F.lit("ChemicalEntity"), "predicate": F.lit("biolink:applied_to_treat"),
-        "approval_ids": S.sorted_join(F.coalesce("approval", F.array().cast("array<string>"))), "edge_evidence": F.lit(""), "supporting_faers_records": S.sorted_join(F.col("records")),
+        "approval_ids": S.sorted_join(F.col("approval")), "edge_evidence": F.lit(""), "supporting_faers_records": S.sorted_join(F.col("records")),
         "supporting_faers_urls": S.sorted_join(F.col("urls")), "clinical_approval_status": status, "knowledge_level": F.lit("statistical_association"),
         "agent_type": F.lit("manual_validation_of_automated_agent"), "primary_knowledge_source": F.lit(PRIMARY_SOURCE), "upstream_resource_ids": F.lit(f"{REPORT_SOURCE}|{LABEL_SOURCE}"),
     })

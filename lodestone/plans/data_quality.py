@@ -7,17 +7,59 @@ from pyspark.sql import functions as F
 
 from lodestone.operators import drift, nested, orphans, rejects
 from lodestone.queries import query
-from lodestone.runtime import table
+from lodestone.runtime import scratch, table
+
+
+# JSON text is opened wherever a field holds it; the record is the outermost object with a set id
+_ONCE = "CASE WHEN json_type({0}) = 'VARCHAR' AND json_valid({0}->>'$') AND json_type(({0}->>'$')::JSON) IN ('OBJECT', 'ARRAY', 'VARCHAR') THEN ({0}->>'$')::JSON ELSE {0} END"
+
+
+def _opened(x: str) -> str:
+    return _ONCE.format("(" + _ONCE.format(x) + ")")
+
+
+_TAGS = "(" + ", ".join(f"'{t}'" for t in nested.LABEL_TABLES) + ")"
+_AT = "CASE WHEN path = '' THEN '' ELSE path || '.' END || k"
+_FIELD = """json_extract(j, '$."' || k || '"')"""
+OBJECTS = f"""
+WITH RECURSIVE roots AS (SELECT record_id, spl_set_id, payload::JSON AS j, 0 AS depth FROM label_records WHERE json_valid(payload)
+  UNION ALL SELECT record_id, spl_set_id, {_opened('v')}, depth + 1 FROM (
+    SELECT record_id, spl_set_id, depth, unnest(CASE json_type(j) WHEN 'OBJECT' THEN list_transform(json_keys(j), lambda k: {_FIELD}) ELSE j::JSON[] END) AS v
+    FROM roots WHERE json_type(j) IN ('OBJECT', 'ARRAY') AND NOT json_exists(j, '$.set_id')) WHERE json_type({_opened('v')}) IN ('OBJECT', 'ARRAY')),
+held AS (SELECT record_id, spl_set_id, arg_min(j, depth) AS j FROM roots WHERE json_exists(j, '$.set_id') GROUP BY ALL),
+objects AS (SELECT record_id, spl_set_id, '' AS kind, '' AS path, '' AS parent_path, j FROM held
+  UNION ALL SELECT record_id, spl_set_id, CASE WHEN s.k IN {_TAGS} THEN s.k WHEN s.k = '' THEN s.t ELSE '' END, s.p, parent_path, s.j FROM (
+    SELECT record_id, spl_set_id, CASE WHEN kind <> '' AND json_type(j) = 'OBJECT' THEN path ELSE parent_path END AS parent_path, unnest(children) AS s FROM (
+      SELECT *, CASE json_type(j) WHEN 'ARRAY' THEN list_transform(j::JSON[], lambda x, i: {{'k': '', 't': kind, 'p': path || '.' || (i - 1), 'j': x}})
+        ELSE flatten(list_transform(json_keys(j), lambda k: list_transform([{_opened(_FIELD)}], lambda v: CASE json_type(v)
+          WHEN 'ARRAY' THEN list_transform(v::JSON[], lambda x, i: {{'k': k, 't': '', 'p': {_AT} || '.' || (i - 1), 'j': x}})
+          WHEN 'OBJECT' THEN [{{'k': k, 't': '', 'p': {_AT} || CASE WHEN k IN {_TAGS} THEN '.0' ELSE '' END, 'j': v}}] ELSE [] END)[1])) END AS children
+      FROM objects)) WHERE json_type(s.j) IN ('OBJECT', 'ARRAY'))
+"""
 
 
-@query()
+@query(OBJECTS + "SELECT record_id, kind, path, parent_path FROM objects WHERE kind <> '' AND json_type(j) = 'OBJECT'")
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.emit_objects(table(spark, sf_dir, "label_records")).select("record_id", "kind", "path", "parent_path")
 
 
-@query()
-def p2_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return nested.flat_tables(nested.emit_objects(table(spark, sf_dir, "label_records")))["sections"]
+def label_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The flat tables of the label records, read back from one write partitioned by tag."""
+    return nested.stored_tables(nested.emit_objects(table(spark, sf_dir, "label_records")), scratch(spark, "objects"))
+
+
+def _flat(tag: str) -> None:
+    columns = [c.split()[0] for c in nested.LABEL_TABLES[tag].split(", ")]
+
+    def flat(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return label_tables(spark, sf_dir)[tag]
+
+    flat.__name__ = f"p2_{tag}"
+    query(OBJECTS + f"SELECT record_id, path, parent_path, {', '.join(f'j->>{chr(39)}$.{c}{chr(39)} AS {c}' for c in columns)} FROM objects WHERE kind = '{tag}' AND json_type(j) = 'OBJECT'")(flat)
+
+
+for _tag in nested.LABEL_TABLES:
+    _flat(_tag)
 
 
 @query()
@@ -84,9 +126,16 @@ def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.reject_report(table(spark, sf_dir, "raw_lines"))
 
 
-@query()
-def p5_loaded_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rejects.loaded(table(spark, sf_dir, "raw_lines"), "DEMO")
+def _loaded(family: str) -> None:
+    def loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return rejects.loaded(table(spark, sf_dir, "raw_lines"), family)
+
+    loaded.__name__ = f"p5_loaded_{family.lower()}"
+    query()(loaded)
+
+
+for _family in rejects.FAMILIES:
+    _loaded(_family)
 
 
 _ID = "CASE WHEN instr({0}, ':') > 0 THEN upper(substr({0}, 1, instr({0}, ':') - 1)) || substr({0}, instr({0}, ':')) ELSE {0} END"

@@ -23,4 +23,4 @@ def query(sql: str | None = None, into: dict | None = None, sql_into: dict | Non
     return register
 
 
-from lodestone.plans import data_quality, reference_queries  # noqa: E402,F401  (they register their queries)
+from lodestone.plans import data_quality, reference_queries, relation_queries  # noqa: E402,F401  (they register their queries)

@@ -42,20 +42,25 @@ def _file_system(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path in the shared folder, deleted with `intermediates()` or when the application ends."""
+    path = f"{shared_dir(spark)}/lodestone-{label}-{uuid.uuid4().hex}"
+    target, fs = _file_system(spark, path)
+    fs.deleteOnExit(target)
+    if _open:
+        _open[-1].append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cuts lineage: writes `df` once to the shared folder and returns the written table.
 
     A lost executor then costs a re-read, not a recomputation of the whole history. The table goes
     at the end of the enclosing `intermediates()`, at the latest when the application ends.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lodestone-{label}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, label)
     df.write.parquet(path)
-    target, fs = _file_system(spark, path)
-    fs.deleteOnExit(target)
-    if _open:
-        _open[-1].append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 @contextmanager

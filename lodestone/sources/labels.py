@@ -45,14 +45,6 @@ def _local(e: ET.Element) -> str:
     return e.tag.rpartition("}")[2]
 
 
-def _within(e: ET.Element, name: str) -> Iterator[ET.Element]:
-    return (x for x in e.iter() if x is not e and _local(x) == name)
-
-
-def _whole_text(e: ET.Element) -> str:
-    return "".join(e.itertext()).strip()
-
-
 def is_loinc(code: str) -> bool:
     head, dash, tail = code.partition("-")
     return bool(dash and head.isdigit() and tail)
@@ -62,76 +54,176 @@ def _prefixed(code: str) -> str:
     return f"UNII:{code}" if code else ""
 
 
-def _section(e: ET.Element, doc: Document) -> dict:
-    tagged = [c for c in _within(e, "code") if c.get("code")]
-    official = next((c.get("code") for c in tagged if c.get("codeSystem") == LOINC_OID), None)
-    shaped = next((c.get("code") for c in tagged if is_loinc(c.get("code"))), None)
-    loinc = official or shaped or (tagged[0].get("code") if tagged else "") or (e.get("loinc") or "").strip()
-    name = (e.get("name") or "").strip() or SECTION_NAMES.get(loinc, loinc)
-    title = next((_whole_text(t) for t in _within(e, "title")), "") or name
-    raw = _whole_text(e)
-    if not loinc:
-        doc.warnings.append("section missing LOINC code")
-    return {"loinc": loinc, "name": name, "title": title, "raw_text": raw, "clean_text": " ".join(raw.split())}
-
-
-def _simple(e: ET.Element) -> Document:
-    doc = Document(set_id=(e.findtext("setId") or "").strip())
-    if not doc.set_id:
-        doc.warnings.append("document missing setId")
-    attr = lambda x, k: (x.get(k) or "").strip()
-    for x in e:
-        kind = _local(x)
-        if kind == "approval":
-            doc.approvals.append({"approval_id": attr(x, "code"), "code": attr(x, "code"), "type": attr(x, "type")})
-        elif kind in ("activeIngredient", "inactiveIngredient"):
-            doc.ingredients.append({"name": attr(x, "name"), "unii": _prefixed(attr(x, "unii")), "role": "active" if kind[0] == "a" else "inactive"})
-    doc.ingredients.sort(key=lambda i: i["role"] != "active")
-    doc.sections = [_section(x, doc) for x in _within(e, "section")]
-    return doc
-
-
-def _standard(e: ET.Element) -> Document:
-    doc = Document(set_id=next((x.get("root").strip().lower() for x in _within(e, "setId") if x.get("root")), ""))
-    if not doc.set_id:
-        doc.warnings.append("document missing setId root")
-    types: dict[str, str] = {}
-    for a in _within(e, "approval"):
-        number = next((i.get("extension", "").strip() for i in _within(a, "id") if i.get("root") == APPLICATION_OID), "")
-        if number:  # a row per number; the type of its last approval holds
-            types[number] = next((c.get("code", "") for c in _within(a, "code") if c.get("codeSystem") == APPLICATION_CODES), "")
-    doc.approvals = [{"approval_id": n, "code": n, "type": t} for n, t in types.items()]
-    found: dict[tuple[str, str, str], dict] = {}
-
-    def add(e: ET.Element, role: str) -> None:
-        name = next((_whole_text(c) for c in e if _local(c) == "name"), "")
-        code = next((_prefixed((c.get("code") or "").strip()) for c in e if _local(c) == "code"), "")
+def _attr(e: ET.Element, name: str) -> str:
+    return (e.get(name) or "").strip()
+
+
+class _Reader:
+    """Builds a document's record from the parser's events, in one pass.
+
+    `opened` and `closed` look up what to do by tag; `above` holds the tags that are open. Sections that
+    are open collect the codes and titles met in them, so nested sections are not searched again.
+    """
+
+    def __init__(self) -> None:
+        self.doc = Document()
+        self.above: list[str] = []
+        self.sections: list[dict] = []  # open ones, innermost last
+        self.finished: list[tuple[int, dict]] = []
+        self.started = 0
+        self.opened = {"section": self.section_opens, "code": self.code_opens}
+        self.closed = {"section": self.section_closes, "title": self.title_closes}
+
+    def start(self, e: ET.Element) -> None:
+        tag = _local(e)
+        if act := self.opened.get(tag):
+            act(e)
+        self.above.append(tag)
+
+    def end(self, e: ET.Element) -> None:
+        tag = self.above.pop()
+        if act := self.closed.get(tag):
+            act(e)
+
+    def section_opens(self, e: ET.Element) -> None:
+        self.started += 1
+        self.sections.append({"at": self.started, "official": "", "shaped": "", "any": "", "title": ""})
+
+    def code_opens(self, e: ET.Element) -> None:
+        code = e.get("code")
+        if not code:
+            return
+        for s in self.sections:
+            s["any"] = s["any"] or code
+            if is_loinc(code):
+                s["shaped"] = s["shaped"] or code
+            if e.get("codeSystem") == LOINC_OID:
+                s["official"] = s["official"] or code
+
+    def title_closes(self, e: ET.Element) -> None:
+        title = "".join(e.itertext()).strip()
+        for s in self.sections:
+            s["title"] = s["title"] or title
+
+    def section_closes(self, e: ET.Element) -> None:
+        s = self.sections.pop()
+        loinc = s["official"] or s["shaped"] or s["any"] or _attr(e, "loinc")
+        name = _attr(e, "name") or SECTION_NAMES.get(loinc, loinc)
+        raw = "".join(e.itertext()).strip()
+        if not loinc:
+            self.doc.warnings.append("section missing LOINC code")
+        self.finished.append((s["at"], {"loinc": loinc, "name": name, "title": s["title"] or name, "raw_text": raw, "clean_text": " ".join(raw.split())}))
+
+    def result(self) -> Document:
+        self.doc.sections = [s for _, s in sorted(self.finished, key=lambda x: x[0])]
+        self.doc.ingredients.sort(key=lambda i: i["role"] != "active")
+        return self.doc
+
+
+class _Simple(_Reader):
+    """The plain dialect: what is not a section stands right below the document."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.closed |= {"setId": self.set_id, "approval": self.approval, "activeIngredient": self.ingredient, "inactiveIngredient": self.ingredient}
+
+    def end(self, e: ET.Element) -> None:
+        if len(self.above) == 2 or self.above[-1] in ("section", "title"):
+            super().end(e)
+        else:
+            self.above.pop()
+
+    def set_id(self, e: ET.Element) -> None:
+        self.doc.set_id = self.doc.set_id or (e.text or "").strip()
+
+    def approval(self, e: ET.Element) -> None:
+        self.doc.approvals.append({"approval_id": _attr(e, "code"), "code": _attr(e, "code"), "type": _attr(e, "type")})
+
+    def ingredient(self, e: ET.Element) -> None:
+        self.doc.ingredients.append({"name": _attr(e, "name"), "unii": _prefixed(_attr(e, "unii")), "role": "active" if _local(e)[0] == "a" else "inactive"})
+
+    def result(self) -> Document:
+        if not self.doc.set_id:
+            self.doc.warnings.insert(0, "document missing setId")
+        return super().result()
+
+
+class _Standard(_Reader):
+    """The namespaced standard: ids and codes are attributes, at any depth."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.numbers: dict[str, str] = {}  # a row per number; the type of its last approval holds
+        self.approval = {"number": None, "type": None}
+        self.found: dict[tuple[str, str, str], dict] = {}
+        self.inert: list[bool] = []
+        self.opened |= {"setId": self.set_id, "approval": self.approval_opens, "id": self.id_opens, "ingredient": self.ingredient_opens}
+        self.closed |= {"approval": self.approval_closes, "ingredient": lambda e: self.inert.pop(), "inactiveIngredientSubstance": self.inactive, "ingredientSubstance": self.substance}
+        self.closed |= {"activeMoiety": self.active, "activeIngredientSubstance": self.active}
+
+    def set_id(self, e: ET.Element) -> None:
+        self.doc.set_id = self.doc.set_id or (e.get("root") or "").strip().lower()
+
+    def approval_opens(self, e: ET.Element) -> None:
+        self.approval = {"number": None, "type": None}
+
+    def id_opens(self, e: ET.Element) -> None:
+        if "approval" in self.above and self.approval["number"] is None and e.get("root") == APPLICATION_OID:
+            self.approval["number"] = _attr(e, "extension")
+
+    def code_opens(self, e: ET.Element) -> None:
+        super().code_opens(e)
+        if "approval" in self.above and self.approval["type"] is None and e.get("codeSystem") == APPLICATION_CODES:
+            self.approval["type"] = e.get("code") or ""
+
+    def approval_closes(self, e: ET.Element) -> None:
+        if self.approval["number"]:
+            self.numbers[self.approval["number"]] = self.approval["type"] or ""
+
+    def ingredient_opens(self, e: ET.Element) -> None:
+        self.inert.append(e.get("classCode") == "IACT")
+
+    def add(self, e: ET.Element, role: str) -> None:
+        said = {_local(c): c for c in reversed(e)}  # the first child of each tag
+        name = "".join(said["name"].itertext()).strip() if "name" in said else ""
+        code = _prefixed(_attr(said["code"], "code")) if "code" in said else ""
         if name:
-            found.setdefault((role, code, name.lower()), {"name": name, "unii": code, "role": role})
-
-    for outer in _within(e, "activeMoiety"):
-        for inner in ("activeMoiety", "activeIngredientSubstance"):
-            for x in _within(outer, inner):
-                add(x, "active")
-    for x in _within(e, "inactiveIngredientSubstance"):
-        add(x, "inactive")
-    for x in _within(e, "ingredient"):
-        if x.get("classCode") == "IACT":
-            for y in _within(x, "ingredientSubstance"):
-                add(y, "inactive")
-    doc.ingredients = list(found.values())
-    doc.sections = [_section(x, doc) for x in _within(e, "section")]
-    return doc
+            self.found.setdefault((role, code, name.lower()), {"name": name, "unii": code, "role": role})
+
+    def active(self, e: ET.Element) -> None:
+        if "activeMoiety" in self.above:
+            self.add(e, "active")
+
+    def inactive(self, e: ET.Element) -> None:
+        self.add(e, "inactive")
+
+    def substance(self, e: ET.Element) -> None:
+        if any(self.inert):
+            self.add(e, "inactive")
+
+    def result(self) -> Document:
+        if not self.doc.set_id:
+            self.doc.warnings.insert(0, "document missing setId root")
+        self.doc.approvals = [{"approval_id": n, "code": n, "type": t} for n, t in self.numbers.items()]
+        self.doc.ingredients = list(self.found.values())
+        return super().result()
 
 
 def parse_label_file(data: bytes) -> Iterator[Document]:
     """Documents of one XML file, gzip or not; each is freed after it was read."""
     stream = gzip.GzipFile(fileobj=io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
-    standard = HL7_NAMESPACE in stream.read(4096)
+    dialect = _Standard if HL7_NAMESPACE in stream.read(4096) else _Simple
     stream.seek(0)
-    for _, e in ET.iterparse(stream, events=("end",)):
-        if _local(e) == "document":
-            yield _standard(e) if standard else _simple(e)
+    reader = None
+    for event, e in ET.iterparse(stream, events=("start", "end")):
+        if reader is None:
+            if event == "end" or _local(e) != "document":
+                continue
+            reader = dialect()
+        getattr(reader, event)(e)
+        if event == "end" and not reader.above:
+            yield reader.result()
+            reader = None
             e.clear()
 
 

@@ -40,8 +40,22 @@ def test_approved_by_cases(world):
     assert pick(out, "subject_text", "object_text", "approval_ids", "subject_curie", "supporting_spl_evidence", "supporting_faers_records") == [
         ("Examplestatin", "hypercholesterolemia", "NDA012345", "U:1", "dailymed:S1", "r1"), ("Ibuprofen", "headache", "NDA017977", "U:2", "dailymed:S2", "r2"),
     ]
-    gates = dict(pick(A.gate_counts(A.case_candidates(cases, terms), evidence, products, terms), "gate", "candidates"))
+    gates = dict(pick(A.gate_counts(cases, evidence, products, terms), "gate", "candidates"))
     assert gates == {"passed": 2, "not_named": 1}
+    assert pick(A.approved_from_cases(cases, evidence, products, terms), *APPROVED) == pick(out, *APPROVED)
+    blank = cases.selectExpr(*[c if c not in ("ingredient", "drugname") else f"'' AS {c}" for c in cases.columns])
+    several = A.LabelEvidence(evidence.approvals, evidence.ingredients, evidence.singles.limit(0), evidence.sections)
+    assert dict(pick(A.gate_counts(blank, several, products, terms), "gate", "candidates")) == {"no_subject": 2, "not_named": 1}
+
+
+def test_contracts_are_the_fixed_headers():
+    assert "\t".join(APPROVED).startswith("subject_text\tsubject_curie\tsubject_name\tsubject_category\tpredicate\tobject_text\tobject_curie\tobject_name\tobject_category\tapproval_ids\tsupporting_spl_sets")
+    assert APPROVED[13:] == ("clinical_approval_status", "knowledge_level", "agent_type", "primary_knowledge_source", "upstream_resource_ids", "edge_evidence", "supporting_faers_records", "supporting_faers_urls")
+    assert OBSERVED[9:] == ("case_count", "clinical_approval_status", "knowledge_level", "agent_type", "primary_knowledge_source", "upstream_resource_ids", "approval_ids", "edge_evidence", "supporting_faers_records", "supporting_faers_urls")
+    assert CONTRAINDICATIONS[9:] == (
+        "disease_context_text", "evidence_text", "supporting_spl_sets", "supporting_spl_documents", "supporting_spl_evidence", "source_score", "knowledge_level", "agent_type", "primary_knowledge_source",
+        "upstream_resource_ids", "approval_ids", "edge_evidence",
+    )
 
 
 def test_approved_by_labels(world):

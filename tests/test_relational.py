@@ -73,8 +73,10 @@ def test_dictionary_substrings_in_order(spark):
     got = {r["t"]: r["matches"] and [m["curie"] for m in r["matches"]] for r in R.dictionary_matches(df, "t", terms, "term", "n").collect()}
     assert got == {"Back PAINT": ["c1", "c2"], "none": [], None: None, "": []}
     assert R.dictionary_matches(df, "t", terms.limit(0), "term", "n").count() == 4
-    with pytest.raises(ValueError):
-        R.dictionary_matches(df, "t", terms, "term", "n", most=1)
+    joined = R.dictionary_matches(df, "t", terms, "term", "n", most=1)  # beyond the bound the terms are joined
+    assert {r["t"]: r["matches"] and [m["curie"] for m in r["matches"]] for r in joined.collect()} == got and joined.columns == R.dictionary_matches(df, "t", terms, "term", "n").columns
+    short = spark.createDataFrame([(1, "a", "x"), (2, "in", "y"), (3, "A", "z"), (4, "zzz", "w")], "n bigint, term string, curie string")
+    assert {r["t"]: r["matches"] and [m["curie"] for m in r["matches"]] for r in R.dictionary_joins(df, "t", short, "term", "n").collect()} == {"Back PAINT": ["x", "y", "z"], "none": [], None: None, "": []}
 
 
 def test_lookups_explode_and_dedupe(spark, rows):
