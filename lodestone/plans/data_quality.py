@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.operators import drift, nested, orphans, rejects
-from lodestone.queries import query
+from lodestone.registry import query
 from lodestone.runtime import scratch, table
 
 

@@ -10,7 +10,7 @@ from lodestone.operators import nested, quality
 from lodestone.operators import relational as R
 from lodestone.operators import textmine as T
 from lodestone.plans import assertions, exports
-from lodestone.queries import query
+from lodestone.registry import query
 from lodestone.runtime import materialize, table
 from lodestone.schemas import CASES
 

@@ -11,7 +11,7 @@ from lodestone.operators import textmine as T
 from lodestone.plans import assertions
 from lodestone.plans.data_quality import OBJECTS, label_tables
 from lodestone.plans.reference_queries import _STOP, _key, _norm, _strip, _terms
-from lodestone.queries import query
+from lodestone.registry import query
 from lodestone.runtime import table
 
 _URL = S.LABEL_URL

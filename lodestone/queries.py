@@ -1,26 +1,8 @@
-"""Registry of the core queries: name -> callable, and name -> equivalent SQL."""
+"""All core queries: importing this module registers them."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from lodestone.plans import data_quality, reference_queries, relation_queries, source_queries  # noqa: F401  (they register their queries)
+from lodestone.registry import QUERIES, SQL, query
 
-from pyspark.sql import DataFrame, SparkSession
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None, into: dict | None = None, sql_into: dict | None = None) -> Callable[[Query], Query]:
-    """Registers a query under its function's name, with its SQL if there is one."""
-
-    def register(f: Query) -> Query:
-        (QUERIES if into is None else into)[f.__name__] = f
-        if sql:
-            (SQL if sql_into is None else sql_into)[f.__name__] = sql
-        return f
-
-    return register
-
-
-from lodestone.plans import data_quality, reference_queries, relation_queries  # noqa: E402,F401  (they register their queries)
+__all__ = ["QUERIES", "SQL", "query"]

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import scalars as S
+from lodestone.schemas import SPL_DOCUMENTS, conform
 
 # Identifiers of the document standard and of section codes.
 HL7_NAMESPACE = b"urn:hl7-org:v3"
@@ -272,12 +273,18 @@ def label_tables(documents: DataFrame) -> dict[str, DataFrame]:
     sections = sections.withColumn("spl_document_id", S.document_id(F.col("spl_set_id"), F.col("loinc_code")))
     first = lambda c, cond: F.get(F.filter(c, cond), F.lit(0))
     active, approval = first("ingredients", lambda i: i["role"] == "active"), first("approvals", lambda a: F.lit(True))
-    lead = base.select("release_file", "ordinal", F.coalesce(active["name"], F.lit("")).alias("ingredient_name"), F.coalesce(active["unii"], F.lit("")).alias("ingredient_unii"), F.coalesce(approval["approval_id"], F.lit("")).alias("approval_id"))
+    blank = lambda c, name: F.coalesce(c, F.lit("")).alias(name)
+    wide = base.select(
+        "spl_set_id", "xml_path", "release_file", blank(approval["code"], "approval_code"), blank(approval["type"], "approval_type"), blank(active["name"], "active_ingredient_name"),
+        blank(active["unii"], "active_ingredient_unii"), F.explode("sections").alias("x"),
+    )
+    wide = wide.select("*", F.col("x.loinc").alias("loinc_code"), F.col("x.name").alias("section_name"), F.col("x.clean_text").alias("section_text"))
+    wide = wide.withColumn("spl_document_id", S.document_id(F.col("spl_set_id"), F.col("loinc_code")))
     return {
         "spl_sets": base.where("spl_set_id <> ''").select(S.stable_id(F.col("release_file"), F.lit("set"), F.col("ordinal"), F.col("spl_set_id")).alias("source_record_id"), *source),
         "spl_approvals": flat("approvals", "approval", ["approval_id"], approval_id="approval_id", approval_code="code", approval_type="type"),
         "spl_ingredients": flat("ingredients", "ingredient", ["role", "unii", "name"], ingredient_name="name", ingredient_unii="unii", role="role"),
         "spl_sections": sections,
-        "spl_documents": sections.join(lead, ["release_file", "ordinal"]),
+        "spl_documents": conform(wide, SPL_DOCUMENTS),
         "warnings": base.select("release_file", "ordinal", F.explode("warnings").alias("message")),
     }
