@@ -216,11 +216,26 @@ def keyword_sentences(c: Column, pattern: str) -> Column:
     return F.array_join(F.filter(F.transform(sentences(c), lambda s: s["text"]), lambda s: s.rlike(pattern)), " ")
 
 
+def keyword_spans(c: Column, pattern: str) -> Column:
+    """array<struct<start, end, source_start, source_end>>: where each sentence of keyword_sentences() stands in the filtered text and in the source."""
+    kept = F.filter(sentences(c), lambda s: s["text"].rlike(pattern))
+    shape = "array<struct<start:int,end:int,source_start:int,source_end:int>>"
+    zero = F.struct(F.lit(0).alias("at"), F.array().cast(shape).alias("out"))
+
+    def add(acc: Column, s: Column) -> Column:
+        size = (s["end"] - s["start"]).cast("int")
+        one = F.struct(acc["at"].alias("start"), (acc["at"] + size).cast("int").alias("end"), s["start"].alias("source_start"), s["end"].alias("source_end"))
+        return F.struct((acc["at"] + size + F.lit(1)).cast("int").alias("at"), F.array_append(acc["out"], one).alias("out"))
+
+    return F.aggregate(kept, zero, add, lambda a: a["out"])
+
+
 def general_number(c: Column) -> Column:
-    """A double with six significant digits and no trailing zeroes (`%g` for magnitudes 1e-4 to 1e6)."""
+    """A double with six significant digits and no trailing zeroes, like `%g`."""
     fixed = F.format_string("%.6g", c.cast("double"))
     plain = F.regexp_replace(F.regexp_replace(fixed, r"(\.\d*?)0+(?=e|$)", "$1"), r"\.(?=e|$)", "")
-    return F.when(c == 0, "0").otherwise(plain)
+    special = F.when(F.isnan(c.cast("double")), "nan").when(c == float("inf"), "inf").when(c == float("-inf"), "-inf").when(c == 0, "0")
+    return special.otherwise(plain)
 
 
 def filled(c: Column, empty: str = "NA") -> Column:
@@ -229,10 +244,14 @@ def filled(c: Column, empty: str = "NA") -> Column:
     return F.when(s != "", s).otherwise(empty)
 
 
-def joined_cell(values: Column, sep: str = "|", empty: str = "NA") -> Column:
-    """A list cell: non-blank values in their order, joined, or `empty`."""
-    clean = F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), stripped), lambda v: v != "")
-    return F.when(F.size(clean) > 0, F.array_join(clean, sep)).otherwise(empty)
+def joined_cell(values: Column, sep: str = ",", empty: str = "NA") -> Column:
+    """A list cell: its values in their order, joined, or `empty` for null and empty lists."""
+    return F.when(F.size(F.coalesce(values, F.array().cast("array<string>"))) > 0, F.array_join(values, sep)).otherwise(empty)
+
+
+def first_cell(values: Column, empty: str = "NA") -> Column:
+    """A list's first element as a cell."""
+    return filled(F.get(values, F.lit(0)), empty)
 
 
 def media_type(path: Column, types: Mapping[str, str] = MEDIA_TYPES) -> Column:

@@ -7,6 +7,7 @@ over distinct texts; everything after it (which sentence, which trigger, which r
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -116,6 +117,30 @@ class Gazetteer:
 
 
 Predictor = Callable[[str], Sequence[Mapping]]
+# The built-in vocabulary of conditions, diseases before findings.
+CLINICAL_TERMS = dict.fromkeys((
+    "asthma", "liver disease", "active liver disease", "heart failure", "severe heart failure", "myocardial infarction", "peptic ulcer", "peptic ulcer disease", "renal impairment", "severe renal impairment",
+    "renal disease", "end stage renal disease", "hypertension", "uncontrolled hypertension", "arrhythmia", "ventricular arrhythmias", "stroke", "hemorrhagic stroke", "hepatic impairment", "severe hepatic impairment",
+    "epilepsy", "glaucoma", "narrow angle glaucoma", "hypercholesterolemia", "diabetes mellitus", "type 2 diabetes mellitus", "chronic obstructive pulmonary disease", "atrial fibrillation", "arthritis",
+    "rheumatoid arthritis", "depression", "migraine", "congestive heart failure", "cirrhosis", "hepatic encephalopathy", "acute kidney injury", "hepatocellular carcinoma",
+), "disease") | dict.fromkeys((
+    "hypersensitivity", "transaminase elevations", "bleeding", "active bleeding", "gastrointestinal bleeding", "pregnancy", "qt prolongation", "seizure", "seizures", "headache", "pain", "back pain", "nausea",
+    "vomiting", "fatigue",
+), "phenotype")
+# Words without clinical meaning that are trimmed off a model span's start, and spans that name people.
+HEDGES = frozenset((
+    "a", "an", "the", "any", "all", "some", "other", "certain", "this", "these", "those", "of", "with", "in", "to", "and", "or", "for", "on", "at", "recent", "recently", "prior", "previous", "previously", "history",
+    "known", "suspected", "possible", "potential", "current", "currently", "ongoing", "documented", "existing", "preexisting", "underlying", "patient", "patients", "women", "men", "children", "individuals", "subjects",
+))
+POPULATION = frozenset((
+    "women", "men", "children", "patients", "individuals", "subjects", "women of childbearing potential", "childbearing potential", "women of childbearing age", "pregnant women",
+))
+SPAN_WORDS = re.compile(r"\w+(?:[-_]\w+)*|\S")
+
+
+def default_recogniser(terms: Mapping[str, str] | None = None) -> Gazetteer:
+    """The recogniser without a model: the given terms with their types, else the built-in vocabulary."""
+    return Gazetteer(CLINICAL_TERMS if terms is None else terms)
 
 
 def mined(texts: DataFrame, text: str, miner: Callable[[str], list[dict]], column: str = "mentions") -> DataFrame:
@@ -138,20 +163,27 @@ def mined(texts: DataFrame, text: str, miner: Callable[[str], list[dict]], colum
 def mined_with_cache(texts: DataFrame, text: str, miner: Callable[[str], list[dict]], config: str, cache: str, column: str = "mentions") -> DataFrame:
     """mined(), keeping results in a parquet table by content: only texts it lacks are mined and appended.
 
-    The key holds the text (white space collapsed) and `config`, the miner's own fingerprint. A cache
-    that cannot be read is rebuilt.
+    The key holds the text (white space collapsed) and `config`, the miner's own fingerprint. Each call
+    adds a folder of its own, which appears under the cache when it is complete; nothing is rewritten.
     """
     spark = texts.sparkSession
     key = S.stable_id(F.lit(config), S.collapse_ws(F.col(text)), prefix="")
     asked = texts.select(key.alias("key"), F.col(text).alias("t")).where("t is not null").groupBy("key").agg(F.min("t").alias("t"))
     schema = f"key string, mentions array<{MENTION}>"
-    try:
-        known = spark.read.schema(schema).parquet(cache)
-    except Exception:  # no table yet
-        known = spark.createDataFrame([], schema)
-    missing = asked.join(known.select("key"), "key", "left_anti")
-    mined(missing, "t", miner).select("key", "mentions").write.mode("append").parquet(cache)
-    stored = spark.read.schema(schema).parquet(cache).dropDuplicates(["key"]).select(F.col("key").alias("__key"), F.col("mentions").alias(column))
+    jvm = spark.sparkContext._jvm
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(cache).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def stored() -> DataFrame:
+        done = [f"{cache}/{s.getPath().getName()}" for s in fs.listStatus(at(cache))] if fs.exists(at(cache)) else []
+        done = [p for p in done if not p.rpartition("/")[2].startswith((".", "_"))]
+        return spark.read.schema(schema).parquet(*done) if done else spark.createDataFrame([], schema)
+
+    missing = asked.join(stored().select("key"), "key", "left_anti")
+    name = uuid.uuid4().hex
+    mined(missing, "t", miner).select("key", "mentions").write.parquet(f"{cache}/.{name}")
+    fs.rename(at(f"{cache}/.{name}"), at(f"{cache}/{name}"))
+    stored = stored().groupBy("key").agg(F.min("mentions").alias("mentions")).select(F.col("key").alias("__key"), F.col("mentions").alias(column))
     return texts.withColumn("__k", key).join(stored, F.col("__k") == F.col("__key"), "left").drop("__k", "__key").withColumn(column, F.coalesce(column, F.array().cast(f"array<{MENTION}>")))
 
 
@@ -172,8 +204,6 @@ class ModelMiner:
     unsure and the general one superseded.
     """
 
-    HEDGES = ("known", "suspected", "possible", "history", "of", "a", "an", "the", "with", "any", "severe or", "documented")
-    POPULATION = {"patients", "patient", "women", "men", "children", "adults", "elderly", "infants", "neonates", "pregnant women", "pediatric patients"}
     LABELS = {"disease", "phenotype"}
 
     def __init__(self, predict: Predictor, gazetteer: Gazetteer, floor: float = 0.5, budget: int = 300):
@@ -201,42 +231,52 @@ class ModelMiner:
         if start < end:
             yield start, text[start:end]
 
+    def _trimmed(self, text: str, a: int, b: int) -> tuple[int, int] | None:
+        """The span from its first word that is no hedge on; None if there is none or it names people."""
+        for m in SPAN_WORDS.finditer(text, a, b):
+            if folded(m[0]) not in HEDGES:
+                a = m.start() if any(folded(w[0]) in HEDGES for w in SPAN_WORDS.finditer(text, a, m.start())) else a
+                return None if folded(text[a:b]) in POPULATION else (a, b)
+        return None
+
     def _spans(self, text: str) -> list[tuple[int, int, str, float]]:
-        spans = []
+        """The model's spans of disease and finding, rejoined where a window cut them, hedges trimmed."""
+        out: list[tuple[int, int, str, float]] = []
+        open_, last_end = None, None  # a span that ends flush with its window, and that window's end
         for offset, piece in self.windows(text):
+            own = []
             for p in self.predict(piece):
-                kind = S.TYPE_ALIASES.get(str(p["label"]).strip().lower(), str(p["label"]).lower())
-                if kind in self.LABELS:
-                    spans.append((offset + p["start"], offset + p["end"], kind, float(p["score"])))
-        joined: list[tuple[int, int, str, float]] = []
-        for a, b, kind, score in sorted(spans):
-            if joined and joined[-1][2] == kind and joined[-1][1] <= a and not text[joined[-1][1] : a].strip() and any(o in (a, joined[-1][1]) for o, _ in self.windows(text)):
-                p = joined.pop()
-                a, score = p[0], min(p[3], score)
-            joined.append((a, b, kind, score))
-        out = []
-        for a, b, kind, score in joined:
-            words = text[a:b].split()
-            while words and words[0].lower() in self.HEDGES:
-                a += len(words[0])
-                a += len(text[a:b]) - len(text[a:b].lstrip())
-                words = words[1:]
-            if words and folded(text[a:b]) not in self.POPULATION:
-                out.append((a, b, kind, score))
-        return out
+                kind = S.TYPE_ALIASES.get(str(p["label"]).strip().lower(), str(p["label"]).strip().lower())
+                a, b = offset + p["start"], offset + p["end"]
+                if kind in self.LABELS and folded(text[a:b]) not in POPULATION:
+                    own.append((a, b, kind, float(p["score"])))
+            # only cuts between words leave a gap between windows; a span on both sides of it is one
+            first = next((s for s in own if s[0] == offset), None)
+            if open_ is not None and first is not None and last_end is not None and last_end < offset and not text[last_end:offset].strip():
+                out.remove(open_)
+                own.remove(first)
+                lead = open_ if open_[3] >= first[3] else first
+                own.append((open_[0], first[1], lead[2], max(open_[3], first[3])))
+            last_end = offset + len(piece.rstrip())
+            open_ = next((s for s in reversed(own) if s[1] == last_end), None)
+            out += own
+        return [(*t, kind, score) for a, b, kind, score in out if (t := self._trimmed(text, a, b))]
 
     def __call__(self, text: str | None) -> list[dict]:
         if not text:
             return []
         base = self.gazetteer.match(text)
+        able: list[tuple[int, int, str, float, list[int]]] = []
+        for a, b, kind, score in self._spans(text):
+            met = [k for k, m in enumerate(base) if a < m["end"] and m["start"] < b]
+            inside = [k for k in met if a <= base[k]["start"] and base[k]["end"] <= b and (base[k]["start"], base[k]["end"]) != (a, b)]
+            if len(met) == len(inside) <= 1:
+                able.append((a, b, kind, score, inside))
         taken: list[tuple[int, int]] = []
         chosen: list[dict] = []
         gone: set[int] = set()
-        for a, b, kind, score in sorted(self._spans(text), key=lambda s: (s[0] - s[1], s[0])):
-            met = [k for k, m in enumerate(base) if a < m["end"] and m["start"] < b]
-            inside = [k for k in met if a <= base[k]["start"] and base[k]["end"] <= b]
-            same = any((base[k]["start"], base[k]["end"]) == (a, b) for k in met)
-            if same or len(met) != len(inside) or len(inside) > 1 or any(a < y and x < b for x, y in taken):
+        for a, b, kind, score, inside in sorted(able, key=lambda s: (s[0] - s[1], -s[3], s[0], s[1], s[2])):
+            if any(a < y and x < b for x, y in taken):
                 continue
             gone.update(inside)
             taken.append((a, b))

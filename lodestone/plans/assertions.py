@@ -29,7 +29,7 @@ class LabelEvidence:
     """The label tables in joinable form; nothing is collected."""
 
     approvals: DataFrame  # norm, spl_set_id, display, place
-    ingredients: DataFrame  # spl_set_id, name, unii: distinct active ingredients
+    ingredients: DataFrame  # spl_set_id, name, unii, place: distinct active ingredients
     singles: DataFrame  # the same, of labels with exactly one
     sections: DataFrame  # spl_set_id, doc_id, loinc_code, text, ordinal
 
@@ -47,7 +47,7 @@ def label_evidence(approvals: DataFrame, ingredients: DataFrame, sections: DataF
     a = approvals.select(norm.alias("norm"), S.stripped(F.col("spl_set_id")).alias("spl_set_id"), F.when(base != "", F.concat(S.stripped(F.col("approval_type")), base)).alias("display"), place(approvals, "approval_id").alias("place"))
     a = a.where("norm <> '' and spl_set_id <> ''").withColumn("display", F.coalesce("display", "norm")).groupBy("norm", "spl_set_id", "display").agg(F.min("place").alias("place"))
     i = ingredients.where(F.lower(S.stripped(F.col("role"))) == "active").select(S.stripped(F.col("spl_set_id")).alias("spl_set_id"), S.stripped(F.col("ingredient_name")).alias("name"), S.stripped(F.col("ingredient_unii")).alias("unii"), place(ingredients, "ingredient_name").alias("place"))
-    i = i.where("spl_set_id <> '' and name <> ''").groupBy("spl_set_id", F.lower("name").alias("fold"), "unii").agg(F.min_by("name", "place").alias("name")).drop("fold")
+    i = i.where("spl_set_id <> '' and name <> ''").groupBy("spl_set_id", F.lower("name").alias("fold"), "unii").agg(F.min_by("name", "place").alias("name"), F.min("place").alias("place")).drop("fold")
     count = i.groupBy("spl_set_id").agg(F.count(F.lit(1)).alias("n"))
     singles = i.join(count.where("n = 1"), "spl_set_id").drop("n")
     own = F.coalesce(F.nullif(S.stripped(F.col("clean_text")), F.lit("")), S.stripped(F.col("raw_text")))
@@ -100,6 +100,19 @@ def mapped_numbers(products: DataFrame) -> DataFrame:
     return products.where(S.stripped(F.col("active_ingredient")) != "").select(S.application_key(F.col("appl_no_stripped")).alias("norm")).where("norm <> ''").distinct()
 
 
+def ingredient_sets(products: DataFrame) -> DataFrame:
+    """`(norm, ingredients)`: the distinct ingredient texts of each number's products, sorted."""
+    rows = products.select(S.application_key(F.col("appl_no_stripped")).alias("norm"), S.stripped(F.col("active_ingredient")).alias("ingredient"))
+    return rows.where("norm <> '' and ingredient <> ''").groupBy("norm").agg(F.array_sort(F.collect_set("ingredient")).alias("ingredients"))
+
+
+def contraindicated_labels(evidence: LabelEvidence) -> DataFrame:
+    """`(drug, spl_set_id)`: labels with a contraindication section by the lower-case name of their first active ingredient."""
+    warned = evidence.sections.where("loinc_code = '34070-3'").select("spl_set_id").distinct()
+    first = evidence.ingredients.groupBy("spl_set_id").agg(F.min_by("name", F.struct("place", "name")).alias("name"))
+    return first.join(warned, "spl_set_id", "left_semi").select(F.lower("name").alias("drug"), "spl_set_id")
+
+
 def backed_numbers(evidence: LabelEvidence) -> DataFrame:
     """`norm`: numbers of labels with an indication section (the second and third gate)."""
     indicated = evidence.sections.where("loinc_code = '34067-9'").select("spl_set_id").distinct()
@@ -212,6 +225,16 @@ def gate_counts(cases: DataFrame, evidence: LabelEvidence, products: DataFrame,
     return rows.groupBy(gate.alias("gate")).agg(F.count(F.lit(1)).alias("candidates"))
 
 
+def with_status(rows: DataFrame, approved: DataFrame | None) -> DataFrame:
+    """rows with clinical_approval_status: whether the normalised pair of subject and object is approved; not_provided without an approved table."""
+    if approved is None:
+        return rows.withColumn("clinical_approval_status", F.lit("not_provided"))
+    keys = {"__s": S.normalize_text(F.col("subject_text")), "__o": S.normalize_text(F.col("object_text"))}
+    known = approved.select(*[v.alias(k) for k, v in keys.items()]).where("__s <> '' and __o <> ''").distinct().withColumn("__is", F.lit(True))
+    met = rows.withColumns(keys).join(known, list(keys), "left")
+    return met.withColumn("clinical_approval_status", F.when(F.col("__is"), "approved_for_condition").otherwise("off_label_use")).drop("__s", "__o", "__is")
+
+
 def observed_uses(cases: DataFrame, terms: DataFrame, approved: DataFrame | None = None, miner: Miner | None = None, quarter_urls: DataFrame | None = None) -> DataFrame:
     """The observed relation in its contract's columns: a row per drug and indication as reported.
 
@@ -247,15 +270,11 @@ def observed_uses(cases: DataFrame, terms: DataFrame, approved: DataFrame | None
         full = full.withColumn("object_name", F.coalesce("said", "object_name")).withColumn("object_category", F.coalesce("said_category", "object_category")).withColumn("object_text", F.coalesce("object_term", "said", "indication"))
     else:
         full = full.withColumn("object_text", F.coalesce("object_term", "indication"))
-    status = F.lit("not_provided")
-    if approved is not None:
-        known = approved.select(S.normalize_text(F.col("subject_text")).alias("__s"), S.normalize_text(F.col("object_text")).alias("__o")).where("__s <> '' and __o <> ''").distinct().withColumn("__is", F.lit(True))
-        full = full.join(known, (S.normalize_text(F.col("subject_text")) == F.col("__s")) & (S.normalize_text(F.col("object_text")) == F.col("__o")), "left")
-        status = F.when(F.col("__is"), "approved_for_condition").otherwise("off_label_use")
+    full = with_status(full, approved)
     out = full.withColumns({
         "subject_curie": F.lit(""), "subject_name": F.col("subject_text"), "subject_category": F.lit("ChemicalEntity"), "predicate": F.lit("biolink:applied_to_treat"),
         "approval_ids": S.sorted_join(F.col("approval")), "edge_evidence": F.lit(""), "supporting_faers_records": S.sorted_join(F.col("records")),
-        "supporting_faers_urls": S.sorted_join(F.col("urls")), "clinical_approval_status": status, "knowledge_level": F.lit("statistical_association"),
+        "supporting_faers_urls": S.sorted_join(F.col("urls")), "knowledge_level": F.lit("statistical_association"),
         "agent_type": F.lit("manual_validation_of_automated_agent"), "primary_knowledge_source": F.lit(PRIMARY_SOURCE), "upstream_resource_ids": F.lit(f"{REPORT_SOURCE}|{LABEL_SOURCE}"),
     })
     return conform(out, OBSERVED)

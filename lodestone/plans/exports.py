@@ -42,24 +42,34 @@ def deduplicated(rows: DataFrame) -> DataFrame:
     return R.keep_first(keyed, ["task", "__key"], ["source_family", "source_document_id", "source_section", "source_record_id", "source_uri", "text"]).drop("__key")
 
 
+# Columns of the node and edge tables, in the order other programs read.
+NODE_COLUMNS = ("id", "name", "category")
+EDGE_COLUMNS = ("id", "subject", "predicate", "object", "subject_name", "object_name", "object_modifier", "knowledge_level", "agent_type", "approval", "N_cases", "supporting_spls")
+
+
 def export_nodes(nodes: DataFrame) -> DataFrame:
-    """`(id, name, category)` cells with NA for what is missing."""
-    return nodes.select(S.filled(F.col("id")).alias("id"), S.filled(F.col("name")).alias("name"), S.joined_cell(F.col("category")).alias("category"))
-
-
-def export_edges(edges: DataFrame, nodes: DataFrame, mentions: Mapping[str, str] | None = None) -> DataFrame:
-    """Edges as flat cells with the names of their ends: the node's, else the edge's own mention column, else NA."""
-    names = nodes.where("id is not null").groupBy("id").agg(F.min(F.when(S.stripped(F.col("name")) != "", S.stripped(F.col("name")))).alias("n"))
-    e = edges
-    for end in ("subject", "object"):
-        e = e.join(names.select(F.col("id").alias(end), F.col("n").alias(f"__{end}")), end, "left")
-    said = lambda end: S.stripped(F.col(mentions[end])) if mentions and mentions.get(end) in edges.columns else F.lit("")
-    name = lambda end: S.filled(F.coalesce(F.col(f"__{end}"), said(end))).alias(f"{end}_name")
-    cell = lambda c: S.filled(F.col(c)).alias(c)
-    upstream = F.flatten(F.transform(F.coalesce("sources", F.array().cast("array<struct<resource_id:string,resource_role:string,upstream_resource_ids:array<string>>>")), lambda s: F.coalesce(s["upstream_resource_ids"], F.array().cast("array<string>"))))
+    """Nodes as flat cells, NA for what is missing; of several categories the first."""
+    return nodes.select(S.filled(F.col("id")).alias("id"), S.filled(F.col("name")).alias("name"), S.first_cell(F.col("category")).alias("category"))
+
+
+def export_edges(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Edges as flat cells with the names of their ends: the node's, for ends without a node the edge's own mention, else NA.
+
+    Lists (approval_ids, has_evidence) are joined by commas; columns that the edges lack give NA. The
+    modifier is always NA. Of a repeated node the first non-blank name by alphabet counts.
+    """
+    names = nodes.where(S.stripped(F.col("id")) != "").groupBy(S.stripped(F.col("id")).alias("id")).agg(F.min(F.when(S.stripped(F.col("name")) != "", S.stripped(F.col("name")))).alias("n"))
+    e = edges.withColumns({"__s": S.stripped(F.col("subject")), "__o": S.stripped(F.col("object"))})
+    for end in ("__s", "__o"):
+        e = e.join(names.select(F.col("id").alias(end), F.coalesce("n", F.lit("NA")).alias(f"{end}_name")), end, "left")
+    kind = dict(edges.dtypes)
+    said = lambda end: S.filled(F.col(f"original_{end}")) if f"original_{end}" in kind else F.lit("NA")
+    cell = lambda c: S.filled(F.col(c)) if c in kind else F.lit("NA")
+    cells = lambda c: S.joined_cell(F.col(c)) if kind.get(c, "").startswith("array") else cell(c)
     return e.select(
-        cell("id"), cell("subject"), name("subject"), cell("predicate"), cell("object"), name("object"), S.joined_cell(F.col("category")).alias("category"), cell("knowledge_level"), cell("agent_type"), cell("primary_knowledge_source"),
-        S.joined_cell(F.array_distinct(upstream)).alias("upstream_resource_ids"),
+        cell("id").alias("id"), cell("subject").alias("subject"), cell("predicate").alias("predicate"), cell("object").alias("object"), F.coalesce("__s_name", said("subject")).alias("subject_name"),
+        F.coalesce("__o_name", said("object")).alias("object_name"), F.lit("NA").alias("object_modifier"), cell("knowledge_level").alias("knowledge_level"), cell("agent_type").alias("agent_type"),
+        cells("approval_ids").alias("approval"), cell("evidence_count").alias("N_cases"), cells("has_evidence").alias("supporting_spls"),
     )
 
 

@@ -13,6 +13,7 @@ from lodestone.plans import assertions, exports
 from lodestone.registry import query
 from lodestone.runtime import materialize, table
 from lodestone.schemas import CASES
+from lodestone.sources import listings
 
 # SQL pieces: Unicode white space as a class, stripping, the normal forms
 _WS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
@@ -98,6 +99,15 @@ def keyword_sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").where(F.col("text").rlike(pattern)).select("doc_id", S.keyword_sentences(F.col("text"), pattern).alias("kept"))
 
 
+@query(f"""
+WITH p AS (SELECT doc_id, i, x, (sum(length(x)) OVER (PARTITION BY doc_id ORDER BY i) - length(x))::INTEGER AS before FROM (SELECT doc_id, unnest({_PIECES.format('text')}) AS x, generate_subscripts({_PIECES.format('text')}, 1) AS i FROM documents WHERE text <> '')),
+b AS (SELECT doc_id, i, regexp_replace(x, '^\\s+|\\s+$', '', 'g') AS s, (before + length(x) - length(regexp_replace(x, '^\\s+', '')))::INTEGER AS source_start FROM p),
+k AS (SELECT doc_id, i, s, source_start, length(s)::INTEGER AS n FROM b WHERE s <> '' AND regexp_matches(s, '(?i){T.KEYWORDS}'))
+SELECT doc_id, (sum(n + 1) OVER (PARTITION BY doc_id ORDER BY i) - n - 1)::INTEGER AS start, (sum(n + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS "end", source_start, source_start + n AS source_end FROM k""")
+def keyword_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(S.keyword_spans(F.col("text"), "(?i)" + T.KEYWORDS)).alias("s")).select("doc_id", "s.*")
+
+
 _HARD, _NEG, _SOFT, _MED = ("(?i)" + p for p in (T.HARD, T.NEGATION, T.SOFT, T.MEDICATION))
 
 
@@ -127,7 +137,7 @@ def quarter_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT year(o_orderdate) || 'Q' || quarter(o_orderdate) AS quarter, count(*) AS n FROM orders GROUP BY ALL ORDER BY quarter DESC LIMIT 4""")
 def newest_quarters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").groupBy(S.quarter_label(F.col("o_orderdate")).alias("quarter")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("quarter")).limit(4)
+    return table(spark, sf_dir, "orders").groupBy(S.quarter_label(F.col("o_orderdate")).alias("quarter")).agg(F.count(F.lit(1)).alias("n")).transform(lambda q: listings.newest(q, 4))
 
 
 _BAR_WS = _WS.replace(r"[\s", r"[|\s")
@@ -144,10 +154,10 @@ def media_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.union_all([n.distinct() for n in names]).where("source_file is not null").distinct().select("source_file", S.media_type(F.col("source_file")).alias("media_type"))
 
 
-@query("SELECT event_id, CASE WHEN value = 0 THEN '0' ELSE printf('%g', value) END AS shown FROM events WHERE value IS NULL OR value = 0 OR (abs(value) >= 1e-4 AND abs(value) < 1e6)")
+@query("""SELECT event_id, CASE WHEN value = 0 THEN '0' ELSE printf('%g', value) END AS shown, CASE WHEN value = 0 THEN '0' ELSE printf('%g', value * 1e9) END AS large, CASE WHEN value = 0 THEN '0' ELSE printf('%g', value / 1e9) END AS small FROM events""")
 def number_rendering(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.col("value")
-    return table(spark, sf_dir, "events").where(v.isNull() | (v == 0) | ((F.abs(v) >= 1e-4) & (F.abs(v) < 1e6))).select("event_id", S.general_number(v).alias("shown"))
+    return table(spark, sf_dir, "events").select("event_id", S.general_number(v).alias("shown"), S.general_number(v * 1e9).alias("large"), S.general_number(v / 1e9).alias("small"))
 
 
 @query("""SELECT category, CASE lower(category) WHEN 'disease' THEN 'disease' WHEN 'phenotypicfeature' THEN 'phenotype' ELSE lower(category) END AS type, count(*) AS n FROM disease_terms GROUP BY category""")
@@ -283,20 +293,25 @@ def verbatim_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(n, "spl_set_id").where(S.contains_words(F.col("text"), F.col("needle"))).select("doc_id", "needle").distinct()
 
 
-@query(f"""SELECT c.quarter, count(*) AS cases, count(*) FILTER (WHERE p.k IS NOT NULL) AS mapped FROM (SELECT quarter, {_key('nda_raw')} AS k FROM cases) c LEFT JOIN (SELECT DISTINCT {_key('appl_no_raw')} AS k FROM drugsfda_products WHERE {_key('appl_no_raw')} <> '') p ON c.k = p.k GROUP BY c.quarter""")
+@query(f"""SELECT c.quarter, count(*) AS cases, count(*) FILTER (WHERE p.k IS NOT NULL) AS mapped FROM (SELECT quarter, {_key('nda_raw')} AS k FROM cases) c LEFT JOIN (SELECT DISTINCT {_key('appl_no_stripped')} AS k FROM drugsfda_products WHERE {_key('appl_no_stripped')} <> '' AND {_strip('active_ingredient')} <> '') p ON c.k = p.k GROUP BY c.quarter""")
 def gate_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "drugsfda_products").select(S.application_key(F.col("appl_no_raw")).alias("k")).where("k <> ''").distinct()
-    c = table(spark, sf_dir, "cases").select("quarter", S.application_key(F.col("nda_raw")).alias("k"))
-    return c.join(p.withColumn("there", F.lit(True)), "k", "left").groupBy("quarter").agg(F.count(F.lit(1)).alias("cases"), F.count_if(F.col("there")).alias("mapped"))
+    known = assertions.mapped_numbers(table(spark, sf_dir, "drugsfda_products")).withColumn("there", F.lit(True))
+    c = table(spark, sf_dir, "cases").select("quarter", S.application_key(F.col("nda_raw")).alias("norm"))
+    return c.join(known, "norm", "left").groupBy("quarter").agg(F.count(F.lit(1)).alias("cases"), F.count_if(F.col("there")).alias("mapped"))
+
+
+@query(f"SELECT {_key('appl_no_stripped')} AS norm, string_agg(DISTINCT {_strip('active_ingredient')}, '|' ORDER BY {_strip('active_ingredient')}) AS ingredients FROM drugsfda_products WHERE {_key('appl_no_stripped')} <> '' AND {_strip('active_ingredient')} <> '' GROUP BY 1")
+def ingredient_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assertions.ingredient_sets(table(spark, sf_dir, "drugsfda_products")).select("norm", F.array_join("ingredients", "|").alias("ingredients"))
 
 
 @query(f"""
 WITH a AS (SELECT DISTINCT {_norm("coalesce(drug_name, '')")} AS d FROM drugsfda_products WHERE {_norm("coalesce(drug_name, '')")} <> '')
-SELECT c.drugname, CASE WHEN a.d IS NOT NULL THEN 'approved_for_condition' ELSE 'off_label_use' END AS status, count(*) AS n FROM cases c LEFT JOIN a ON {_norm('c.drugname')} = a.d GROUP BY ALL""")
+SELECT c.drugname AS subject_text, CASE WHEN a.d IS NOT NULL THEN 'approved_for_condition' ELSE 'off_label_use' END AS clinical_approval_status, count(*) AS n FROM cases c LEFT JOIN a ON {_norm('c.drugname')} = a.d GROUP BY ALL""")
 def status_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = table(spark, sf_dir, "drugsfda_products").select(S.normalize_text(F.col("drug_name")).alias("d")).where("d <> ''").distinct().withColumn("known", F.lit(True))
-    c = table(spark, sf_dir, "cases").groupBy("drugname").agg(F.count(F.lit(1)).alias("n"))
-    return c.join(a, S.normalize_text(F.col("drugname")) == F.col("d"), "left").select("drugname", F.when(F.col("known"), "approved_for_condition").otherwise("off_label_use").alias("status"), "n")
+    p = table(spark, sf_dir, "drugsfda_products").select(F.col("drug_name").alias("subject_text"), F.col("drug_name").alias("object_text"))
+    c = table(spark, sf_dir, "cases").groupBy(F.col("drugname").alias("subject_text")).agg(F.count(F.lit(1)).alias("n"))
+    return assertions.with_status(c.withColumn("object_text", F.col("subject_text")), p).select("subject_text", "clinical_approval_status", "n")
 
 
 @query(f"""
@@ -346,34 +361,43 @@ def task_family_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.task_counts(d, domain, ["lang", "source"])
 
 
-@query("""
-WITH t AS (SELECT trim(coalesce(id, '')) AS t, * FROM nodes),
-p AS (SELECT id, unnest(list_filter([CASE WHEN t = '' THEN 'node_missing_id' END, CASE WHEN trim(coalesce(name, '')) = '' THEN 'node_missing_name' END,
-  CASE WHEN len(list_filter(coalesce(category, []), lambda c: trim(coalesce(c, '')) <> '')) = 0 THEN 'node_missing_category' END, CASE WHEN t <> '' AND NOT regexp_matches(id, '^[A-Za-z][\\w.]*:\\S+$') THEN 'node_bad_prefix' END], lambda x: x IS NOT NULL)) AS code FROM t
-  UNION ALL SELECT id, 'node_duplicate_id' FROM t WHERE t <> '' GROUP BY id HAVING count(*) > 1)
-SELECT code, count(*) AS n FROM p GROUP BY code""")
+@query(f"""
+WITH t AS (SELECT {_strip('id')} AS t, * FROM nodes),
+p AS (SELECT t AS id, unnest(list_filter([CASE WHEN t = '' THEN 'node_missing_id' END, CASE WHEN {_strip('name')} = '' THEN 'node_missing_name' END, CASE WHEN coalesce(len(category), 0) = 0 THEN 'node_missing_category' END,
+  CASE WHEN len(list_filter(category, lambda c: c IS NULL OR NOT starts_with(c, '{quality.CATEGORY_PREFIX}'))) > 0 THEN 'node_bad_prefix' END], lambda x: x IS NOT NULL)) AS code FROM t
+  UNION ALL SELECT id, 'node_duplicate_id' FROM (SELECT t AS id, row_number() OVER (PARTITION BY t) AS r FROM t WHERE t <> '') WHERE r > 1)
+SELECT id, code, count(*) AS n FROM p GROUP BY id, code""")
 def node_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.node_problems(table(spark, sf_dir, "nodes")).groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    return quality.node_problems(table(spark, sf_dir, "nodes")).groupBy("id", "code").agg(F.count(F.lit(1)).alias("n"))
 
 
 _SUBJ, _OBJ = ("[" + ", ".join(f"'{c}'" for c in names) + "]" for names in (quality.SUBJECTS, quality.OBJECTS))
 _NEED = "CASE predicate " + " ".join(f"WHEN '{k}' THEN [{', '.join(repr(u) for u in v)}]" for k, v in quality.UPSTREAM.items()) + " ELSE [] END"
 
 
+def _clean(x: str) -> str:
+    return f"list_filter(list_transform(coalesce({x}, []), lambda c: {_strip('c')}), lambda c: c <> '')"
+
+
+_PRED = _strip("e.predicate")
+
+
 @query(f"""
-WITH n AS (SELECT id, list_distinct(flatten(list(coalesce(category, [])))) AS c FROM nodes WHERE id IS NOT NULL GROUP BY id),
-e AS (SELECT e.*, s.c AS sc, o.c AS oc, list_concat(list_concat(list_transform(coalesce(sources, []), lambda x: x.resource_id), flatten(list_transform(coalesce(sources, []), lambda x: coalesce(x.upstream_resource_ids, [])))), [primary_knowledge_source]) AS named
-      FROM broken_edges e LEFT JOIN n s ON s.id = e.subject LEFT JOIN n o ON o.id = e.object),
-p AS (SELECT unnest(list_filter([CASE WHEN {_strip('id')} = '' THEN 'edge_missing_id' END, {', '.join(f"CASE WHEN {_strip(c)} = '' THEN 'edge_missing_{c}' END" for c in quality.REQUIRED)},
-  CASE WHEN len(coalesce(category, [])) = 0 THEN 'edge_missing_category' END, CASE WHEN {_strip('predicate')} <> '' AND NOT list_contains([{', '.join(repr(k) for k in quality.UPSTREAM)}], predicate) THEN 'edge_unknown_predicate' END,
+WITH n AS (SELECT {_strip('id')} AS id, list_distinct(flatten(list({_clean('category')}))) AS c FROM nodes WHERE {_strip('id')} <> '' GROUP BY 1),
+e AS (SELECT e.* EXCLUDE (predicate), {_PRED} AS predicate, {_PRED} IN ({', '.join(repr(k) for k in quality.UPSTREAM)}) AS known, s.c AS sc, o.c AS oc, {_strip('e.primary_knowledge_source')} = '' AND len(coalesce(sources, [])) = 0 AS bare,
+      {_clean("list_concat(list_concat(list_transform(coalesce(sources, []), lambda x: x.resource_id), flatten(list_transform(coalesce(sources, []), lambda x: coalesce(x.upstream_resource_ids, [])))), [primary_knowledge_source])")} AS named
+      FROM broken_edges e LEFT JOIN n s ON s.id = {_strip('e.subject')} LEFT JOIN n o ON o.id = {_strip('e.object')}),
+p AS (SELECT {_strip('id')} AS id, unnest(list_filter([CASE WHEN {_strip('id')} = '' THEN 'edge_missing_id' END, {', '.join(f"CASE WHEN {_strip(c)} = '' THEN 'edge_missing_{c}' END" for c in quality.REQUIRED)},
+  CASE WHEN len({_clean('category')}) = 0 THEN 'edge_missing_category' END, CASE WHEN predicate <> '' AND NOT known THEN 'edge_unknown_predicate' END,
   CASE WHEN {_strip('subject')} <> '' AND sc IS NULL THEN 'edge_dangling_subject' END, CASE WHEN {_strip('object')} <> '' AND oc IS NULL THEN 'edge_dangling_object' END,
-  CASE WHEN sc IS NOT NULL AND NOT list_has_any(sc, {_SUBJ}) THEN 'edge_subject_category' END, CASE WHEN oc IS NOT NULL AND NOT list_has_any(oc, {_OBJ}) THEN 'edge_object_category' END,
-  CASE WHEN NOT coalesce(list_contains(named, 'infores:own-approvals'), false) THEN 'edge_missing_provider' END, CASE WHEN len(list_filter({_NEED}, lambda u: NOT coalesce(list_contains(named, u), false))) > 0 THEN 'edge_missing_upstream' END], lambda x: x IS NOT NULL)) AS code FROM e
-  UNION ALL SELECT 'edge_duplicate_id' FROM broken_edges WHERE {_strip('id')} <> '' GROUP BY id HAVING count(*) > 1)
-SELECT code, count(*) AS n FROM p GROUP BY code""")
+  CASE WHEN known AND sc IS NOT NULL AND NOT list_has_any(sc, {_SUBJ}) THEN 'edge_subject_category' END, CASE WHEN known AND oc IS NOT NULL AND NOT list_has_any(oc, {_OBJ}) THEN 'edge_object_category' END,
+  CASE WHEN bare THEN 'edge_missing_provenance' END, CASE WHEN NOT bare AND NOT list_contains(named, 'infores:own-approvals') THEN 'edge_missing_provider' END,
+  CASE WHEN NOT bare AND len(list_filter({_NEED}, lambda u: NOT list_contains(named, u))) > 0 THEN 'edge_missing_upstream' END], lambda x: x IS NOT NULL)) AS code FROM e
+  UNION ALL SELECT id, 'edge_duplicate_id' FROM (SELECT {_strip('id')} AS id, row_number() OVER (PARTITION BY {_strip('id')}) AS r FROM broken_edges) WHERE id <> '' AND r > 1)
+SELECT id, code, count(*) AS n FROM p GROUP BY id, code""")
 def edge_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.edge_problems(table(spark, sf_dir, "broken_edges"), table(spark, sf_dir, "nodes"), assertions.PRIMARY_SOURCE)
-    return found.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
+    return found.groupBy("id", "code").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(f"""
@@ -384,41 +408,56 @@ def contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.violations(table(spark, sf_dir, "lineitem"), checks, F.col("l_orderkey").cast("string"), [F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")])
 
 
-_CELL = "CASE WHEN {0} <> '' THEN {0} ELSE 'NA' END"
-_NAMES = f"SELECT id, min(nullif({_strip('name')}, '')) AS n FROM nodes WHERE id IS NOT NULL GROUP BY id"
+def _cell(x: str) -> str:
+    return f"CASE WHEN {_strip(x)} <> '' THEN {_strip(x)} ELSE 'NA' END"
+
+
+@query(f"SELECT {_cell('id')} AS id, {_cell('name')} AS name, {_cell('category[1]')} AS category FROM nodes")
+def graph_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.export_nodes(table(spark, sf_dir, "nodes"))
 
 
 @query(f"""
-WITH n AS ({_NAMES})
-SELECT {_CELL.format(_strip('e.id'))} AS id, {_CELL.format(_strip('e.subject'))} AS subject, coalesce(s.n, 'NA') AS subject_name, {_CELL.format(_strip('e.object'))} AS object, coalesce(o.n, 'NA') AS object_name,
-  CASE WHEN len(list_filter(coalesce(e.category, []), lambda c: {_strip('c')} <> '')) > 0 THEN array_to_string(list_filter(list_transform(e.category, lambda c: {_strip('c')}), lambda c: c <> ''), '|') ELSE 'NA' END AS category
-FROM broken_edges e LEFT JOIN n s ON s.id = e.subject LEFT JOIN n o ON o.id = e.object""")
-def node_name_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = exports.export_edges(table(spark, sf_dir, "broken_edges"), table(spark, sf_dir, "nodes"))
-    return out.select("id", "subject", "subject_name", "object", "object_name", "category")
+WITH n AS (SELECT {_strip('id')} AS id, coalesce(min(nullif({_strip('name')}, '')), 'NA') AS n FROM nodes WHERE {_strip('id')} <> '' GROUP BY 1)
+SELECT {_cell('e.id')} AS id, {_cell('e.subject')} AS subject, {_cell('e.predicate')} AS predicate, {_cell('e.object')} AS object, coalesce(s.n, {_cell("'the ' || e.subject")}) AS subject_name, coalesce(o.n, {_cell("'the ' || e.object")}) AS object_name,
+  'NA' AS object_modifier, {_cell('e.knowledge_level')} AS knowledge_level, {_cell('e.agent_type')} AS agent_type, CASE WHEN len(e.sources[1].upstream_resource_ids) > 0 THEN array_to_string(e.sources[1].upstream_resource_ids, ',') ELSE 'NA' END AS approval,
+  coalesce(month(e.asserted_at)::VARCHAR, 'NA') AS "N_cases", {_cell('e.primary_knowledge_source')} AS supporting_spls
+FROM broken_edges e LEFT JOIN n s ON s.id = {_strip('e.subject')} LEFT JOIN n o ON o.id = {_strip('e.object')}""")
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "broken_edges").withColumns({
+        "approval_ids": F.get("sources", F.lit(0))["upstream_resource_ids"], "evidence_count": F.month("asserted_at"), "has_evidence": F.col("primary_knowledge_source"),
+        "original_subject": F.concat(F.lit("the "), "subject"), "original_object": F.concat(F.lit("the "), "object"),
+    })
+    return exports.export_edges(e, table(spark, sf_dir, "nodes"))
 
 
 @query("""SELECT id, array_to_string(list_sort(list_filter(['infores:labels', 'infores:reports'], lambda u: NOT list_contains(flatten(list_transform(coalesce(sources, []), lambda s: coalesce(s.upstream_resource_ids, []))), u))), '|') AS lacking FROM broken_edges""")
 def upstream_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    have = F.flatten(F.transform("sources", lambda s: F.coalesce(s["upstream_resource_ids"], F.array().cast("array<string>"))))
-    gap = F.array_except(F.array(F.lit("infores:labels"), F.lit("infores:reports")), F.coalesce(have, F.array().cast("array<string>")))
-    return table(spark, sf_dir, "broken_edges").select("id", F.array_join(F.array_sort(gap), "|").alias("lacking"))
+    return quality.upstream_gaps(table(spark, sf_dir, "broken_edges"), ("infores:labels", "infores:reports"))
 
 
 # Terms for the vocabulary queries, none of which overlaps another in part.
 VOCABULARY = ("blurred vision", "weight loss", "dry mouth", "platelet count", "serum creatinine", "starting dose", "night time nausea", "nausea", "patients", "dosis", "behandlung", "grossesse")
-_ALTERNATIVES = "|".join(sorted(VOCABULARY, key=lambda t: (-len(t), t)))
+TERMS = {**dict.fromkeys(VOCABULARY, "phenotype"), **T.CLINICAL_TERMS}
+_ALTERNATIVES = "|".join(sorted(TERMS, key=lambda t: (-len(t), t)))
 
 
 @query(f"""SELECT term, count(*) AS n, count(DISTINCT doc_id) AS docs FROM (SELECT doc_id, unnest(regexp_extract_all({_norm('text')}, '\\b(?:{_ALTERNATIVES})\\b')) AS term FROM documents) GROUP BY term""")
 def vocabulary_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.regex_mentions(S.normalize_text(F.col("text")), VOCABULARY)).alias("term"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.explode(T.regex_mentions(S.normalize_text(F.col("text")), list(TERMS))).alias("term"))
     return d.groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("docs"))
 
 
+@query(f"""SELECT doc_id, term, count(*) AS n, min(type) AS type FROM (SELECT doc_id, term, CASE WHEN term IN ({', '.join(repr(t) for t, k in TERMS.items() if k == 'disease')}) THEN 'disease' ELSE 'phenotype' END AS type
+  FROM (SELECT doc_id, unnest(regexp_extract_all({_norm('text')}, '\\b(?:{_ALTERNATIVES})\\b')) AS term FROM documents WHERE {_norm('text')} NOT IN ({', '.join(repr(t) for t in T.IGNORED)}))) GROUP BY doc_id, term""")
+def gazetteer_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = T.mined(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", T.default_recogniser(TERMS).match)
+    return found.select("doc_id", F.explode("mentions").alias("m")).groupBy("doc_id", F.col("m.normalized").alias("term")).agg(F.count(F.lit(1)).alias("n"), F.min("m.type").alias("type"))
+
+
 @query()
 def gazetteer_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gazetteer = T.Gazetteer(dict.fromkeys(VOCABULARY, "phenotype"))
+    gazetteer = T.default_recogniser(TERMS)
     found = T.mined(table(spark, sf_dir, "documents").select("doc_id", "text"), "text", gazetteer.match)
     return found.select("doc_id", F.explode("mentions").alias("m")).select("doc_id", "m.start", "m.end", "m.text", "m.type", "m.normalized")
 

@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 
 from lodestone.functions import scalars as S
 from lodestone.operators import quality
+from lodestone.operators import relational as R
 from lodestone.operators import textmine as T
 from lodestone.plans import assertions
 from lodestone.plans.data_quality import OBJECTS, label_tables
 from lodestone.plans.reference_queries import _STOP, _key, _norm, _strip, _terms
 from lodestone.registry import query
-from lodestone.runtime import table
+from lodestone.runtime import materialize, table
 
 _URL = S.LABEL_URL
 
@@ -154,6 +155,16 @@ def observed_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assertions.observed_uses(table(spark, sf_dir, "cases"), _terms(spark, sf_dir), _approved(spark, sf_dir), T.Gazetteer(FINDINGS).match)
 
 
+@query(
+    OBJECTS + ", " + _LABELS
+    + f""", lead AS (SELECT s, lower(arg_min(name, struct_pack(a := place, b := name))) AS drug FROM (SELECT s, name, place FROM (
+      SELECT {_SETS} AS s, {_cell('name')} AS name, struct_pack(a := record_id, b := path, c := j->>'$.name') AS place FROM objects WHERE kind = 'ingredients' AND json_type(j) = 'OBJECT' AND lower({_cell('role')}) = 'active') WHERE s <> '' AND name <> '') GROUP BY s)
+    SELECT drug, s AS spl_set_id FROM lead WHERE s IN (SELECT {_SETS} FROM objects WHERE kind = 'sections' AND json_type(j) = 'OBJECT' AND {_cell('loinc')} = '34070-3')"""
+)
+def contraindicated_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assertions.contraindicated_labels(_evidence(spark, sf_dir))
+
+
 def _gazetteer(spark: SparkSession, sf_dir: str) -> T.Gazetteer:
     """The term list as a gazetteer; a list of conditions is bounded, and refused beyond that."""
     rows = _terms(spark, sf_dir).select("term", "category").limit(200_001).collect()
@@ -169,6 +180,10 @@ def contraindications(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def relation_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    observed = assertions.observed_uses(table(spark, sf_dir, "cases"), _terms(spark, sf_dir))
-    contra = assertions.contraindications(_evidence(spark, sf_dir), _gazetteer(spark, sf_dir).match)
-    return quality.invariant_violations(observed, "observed_use").unionByName(quality.invariant_violations(contra, "contraindication"))
+    """Broken invariants of all three relations (none, if all is well)."""
+    evidence, terms = _evidence(spark, sf_dir), _terms(spark, sf_dir)
+    approved = _approved(spark, sf_dir)
+    relations = {
+        "approved": approved, "observed_use": assertions.observed_uses(table(spark, sf_dir, "cases"), terms, approved), "contraindication": assertions.contraindications(evidence, _gazetteer(spark, sf_dir).match),
+    }
+    return R.union_all([quality.invariant_violations(materialize(rows, name), name, assertions.PRIMARY_SOURCE) for name, rows in relations.items()])

@@ -39,10 +39,3 @@ def latest_wins_stream(rows: DataFrame) -> DataFrame:
     gives the batch operator's two tables. State per key is one version's rows.
     """
     return rows.groupBy("key").applyInPandasWithState(_decide, OUTPUT, "best string, sent array<string>", "append", GroupStateTimeout.NoTimeout)
-
-
-def distinct_counts_stream(rows: DataFrame, time: str, late: str = "1 day", window: str = "1 day") -> DataFrame:
-    """Events per window and type under a watermark: rows later than `late` are left out."""
-    from pyspark.sql import functions as F
-
-    return rows.withWatermark(time, late).groupBy(F.window(time, window).alias("w"), "event_type").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("user_id").alias("users"))

@@ -28,19 +28,35 @@ def codes(df):
 
 
 def test_graph_contract(spark):
-    nodes = spark.createDataFrame([("C:1", "n", ["biolink:Drug"]), ("M:1", "n", ["biolink:Disease"]), ("bad", None, []), ("M:1", "n", ["biolink:Disease"]), (None, "n", ["x"])], NODE)
-    assert codes(Q.node_problems(nodes.where("id is not null"))) == [("M:1", "node_duplicate_id"), ("bad", "node_bad_prefix"), ("bad", "node_missing_category"), ("bad", "node_missing_name")]
+    nodes = spark.createDataFrame([("C:1", "n", ["biolink:Drug"]), (" M:1", "n", ["biolink:Disease"]), ("bad", None, []), ("M:1", "n", ["biolink:Disease"]), (None, "n", ["biolink:Drug", "x"]), ("null", "n", None)], NODE)
+    assert codes(Q.node_problems(nodes)) == [
+        ("", "node_bad_prefix"), ("", "node_missing_id"), ("M:1", "node_duplicate_id"), ("bad", "node_missing_category"), ("bad", "node_missing_name"), ("null", "node_missing_category"),
+    ]
     bad = [
         ("e2", "C:9", "biolink:treats", "M:1", ["a"], "k", "t", "infores:own-approvals", GOOD[8]), ("e3", "M:1", "biolink:eats", "C:1", ["a"], "k", None, "infores:own-approvals", None),
         ("e4", "C:1", "biolink:treats", "M:1", None, "k", "t", None, None), ("e1", "C:1", "biolink:treats", "M:1", ["a"], "k", "t", "infores:own-approvals", GOOD[8]),
+        ("e5", "M:1", "biolink:treats", "C:1", ["a"], "k", "t", "infores:labels", None),
     ]
     got = codes(Q.edge_problems(spark.createDataFrame([GOOD, *bad], EDGE), nodes, "infores:own-approvals"))
     assert got == [
-        ("e1", "edge_duplicate_id"), ("e2", "edge_dangling_subject"), ("e3", "edge_missing_agent_type"), ("e3", "edge_object_category"), ("e3", "edge_subject_category"), ("e3", "edge_unknown_predicate"),
-        ("e4", "edge_missing_category"), ("e4", "edge_missing_primary_knowledge_source"), ("e4", "edge_missing_provider"), ("e4", "edge_missing_upstream"),
+        ("e1", "edge_duplicate_id"), ("e2", "edge_dangling_subject"), ("e3", "edge_missing_agent_type"), ("e3", "edge_unknown_predicate"), ("e4", "edge_missing_category"),
+        ("e4", "edge_missing_provenance"), ("e5", "edge_missing_provider"), ("e5", "edge_missing_upstream"), ("e5", "edge_object_category"), ("e5", "edge_subject_category"),
     ]
-    flat = exports.export_edges(spark.createDataFrame([GOOD, bad[0]], EDGE), nodes)
-    assert {(r["id"], r["subject_name"], r["upstream_resource_ids"]) for r in flat.collect()} == {("e1", "n", "infores:labels|infores:reports"), ("e2", "NA", "infores:labels|infores:reports")}
+    flat = exports.export_edges(spark.createDataFrame([GOOD, bad[0]], EDGE).selectExpr("*", "array('A1', 'B2') AS approval_ids", "3 AS evidence_count", "concat('the ', subject) AS original_subject"), nodes)
+    assert tuple(flat.columns) == ("id", "subject", "predicate", "object", "subject_name", "object_name", "object_modifier", "knowledge_level", "agent_type", "approval", "N_cases", "supporting_spls")
+    assert {(r["id"], r["subject_name"], r["object_name"], r["approval"], r["N_cases"], r["supporting_spls"]) for r in flat.collect()} == {("e1", "n", "n", "A1,B2", "3", "NA"), ("e2", "the C:9", "n", "A1,B2", "3", "NA")}
+    assert {tuple(r) for r in exports.export_nodes(nodes.limit(3)).collect()} == {("C:1", "n", "biolink:Drug"), ("M:1", "n", "biolink:Disease"), ("bad", "NA", "NA")}
+
+
+def test_invariants_by_family(spark):
+    cols = "subject_text string, object_text string, predicate string, clinical_approval_status string, knowledge_level string, primary_knowledge_source string, upstream_resource_ids string, case_count string"
+    rows = spark.createDataFrame([
+        ("a", "b", "biolink:treats", "approved_for_condition", "knowledge_assertion", "infores:own-approvals", "infores:labels|infores:reports", None),
+        ("c", "d", "biolink:treats", "off_label_use", "x", "infores:else", "infores:reports", None), ("e", " ", "biolink:applied_to_treat", "not_provided", "statistical_association", "infores:own-approvals", "infores:reports", "0"),
+        ("f", "g", "biolink:contraindicated_in", None, "knowledge_assertion", "infores:own-approvals", "infores:labels", None), ("h", "i", "biolink:other", None, None, None, None, None),
+    ], cols)
+    got = {(r["code"], r["count"], r["example"]) for r in Q.invariant_violations(rows, "r", "infores:own-approvals").collect()}
+    assert got == {("clinical_approval_status", 1, "c|d"), ("knowledge_level", 1, "c|d"), ("primary_knowledge_source", 1, "c|d"), ("upstream_provenance", 1, "c|d"), ("blank_object", 1, "e| "), ("bad_count", 1, "e| ")}
 
 
 def test_span_scores(spark):
@@ -107,7 +123,7 @@ def test_labels_in_both_dialects(spark, tmp_path):
     assert sorted((r["spl_set_id"], r["loinc_code"], r["clean_text"]) for r in t["spl_sections"].collect()) == [("S1", "", "none"), ("S1", "34067-9", "treats x"), ("abc", "34067-9", "THi bold there")]
     assert sorted((r["ingredient_name"], r["ingredient_unii"], r["role"]) for r in t["spl_ingredients"].collect()) == [("Drug", "UNII:U1", "active"), ("L", "", "inactive"), ("X", "UNII:Q", "active")]
     assert sorted(r["approval_id"] for r in t["spl_approvals"].collect()) == ["012345", "NDA1"]
-    assert {r["ingredient_name"] for r in t["spl_documents"].collect()} == {"Drug", "X"} and t["spl_sets"].count() == 2
+    assert {r["active_ingredient_name"] for r in t["spl_documents"].collect()} == {"Drug", "X"} and t["spl_sets"].count() == 2
     assert sorted(r["message"].split(":")[0] for r in t["warnings"].collect()) == ["parse error", "section missing LOINC code"]
 
 

@@ -43,7 +43,7 @@ def test_texts(spark):
     L = F.lit
     assert one(spark, S.normalize_text(L("<b>Crohn's</b> Disease–II")), S.collapse_ws(L(" a  \n b ")), S.dedupe_key(L(" A\tB ")), S.pipe_safe(L("a | b\n|c")), S.pipe_safe(L(None))) == ["crohn disease ii", "a b", "a b", "a b c", ""]
     assert one(spark, S.unii(L("Q1")), S.unii(L("UNII:Q1")), S.unii(L(" ")), S.canonical_type(L("PhenotypicFeature")), S.canonical_type(L("Gene"))) == ["UNII:Q1", "UNII:Q1", "", "phenotype", "gene"]
-    assert one(spark, S.filled(L(" ")), S.filled(L(" a ")), S.joined_cell(F.array(L("b"), L(""), L("a"))), S.sorted_join(F.array(L("b"), L(" b"), L("a"), L("")))) == ["NA", "a", "b|a", "a|b"]
+    assert one(spark, S.filled(L(" ")), S.filled(L(" a ")), S.joined_cell(F.array(L("b"), L("c"), L("a"))), S.first_cell(F.array(L("b"), L("c"))), S.sorted_join(F.array(L("b"), L(" b"), L("a"), L("")))) == ["NA", "a", "b,c,a", "b", "a|b"]
     assert one(spark, *[S.general_number(L(x)) for x in (1.0, 0.965, 0.9, 0.0, 123456.7)]) == ["1", "0.965", "0.9", "0", "123457"]
 
 
