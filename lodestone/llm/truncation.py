@@ -45,6 +45,10 @@ STRAIGHT = '"'  # opens before a word at the start of one, closes after one
 VOID = {"br", "hr", "img", "p", "li", "td", "tr", "th"}  # written without an end as often as not
 TAIL_TAGS = regex.compile(r"(?r)(?:\s|</?[A-Za-z][^<>]*>|&nbsp;)+$")
 BROKEN = regex.compile(r"(?r)(?:�|[ÃÂ]|â€?|&#?\w{0,8}|\\u[0-9a-fA-F]{0,3}|\\x[0-9a-fA-F]?|%[0-9a-fA-F]?(?<=\p{L}%[0-9a-fA-F]?)|</?[A-Za-z][^<>]*|</?)$")
+LETTER, ANY_TAG = regex.compile(r"\p{L}"), regex.compile(r"<[^<>]*>")
+LONGEST_PLACEHOLDER = max(map(len, PLACEHOLDERS))
+# what the patterns above need at the end of a text; without it there is no need to search
+MARK_ENDS, OMISSION_ENDS, BROKEN_ENDS = regex.compile(r"[\p{L}\p{N})\]}*—–-]"), "….])>", "�ÃÂâ€"
 SCHEMA = "terminated boolean, unclosed boolean, broken boolean, omission boolean, closed boolean, placeholder boolean, weak boolean, chars int, bytes int"
 
 
@@ -93,13 +97,14 @@ def signs_of_end(text: str | None) -> tuple:
         return False, False, False, False, False, True, False, None, None
     chars, size = len(text), len(text.encode("utf-8", "surrogatepass"))
     bare = text.strip().strip("​﻿").strip()
-    plain = regex.sub(r"<[^<>]*>", " ", bare).strip()
-    if plain.strip(" .!?:;-–—_*").lower() in PLACEHOLDERS or not regex.search(r"\p{L}", plain):
+    plain = ANY_TAG.sub(" ", bare).strip() if "<" in bare else bare
+    said = plain.strip(" .!?:;-–—_*")
+    if len(said) <= LONGEST_PLACEHOLDER and said.lower() in PLACEHOLDERS or not LETTER.search(plain):
         return False, False, False, False, False, True, False, chars, size
-    body = TAIL_TAGS.sub("", bare) or bare
-    mark = CLOSING.search(body)
+    body = (TAIL_TAGS.sub("", bare) if bare[-1] in ">;" else bare) or bare
+    mark = CLOSING.search(body) if MARK_ENDS.match(body[-1]) else None
     closed = bool(mark) and not (mark["at"] and int(mark["at"][:9]) > int(mark["all"][:9]))
-    omitted = OMISSION.search(body)
+    omitted = OMISSION.search(body) if body[-1] in OMISSION_ENDS else None
     omission = bool(omitted)
     end = body.rstrip(CLOSERS + " \t\r\n\xa0")
     terminated = not omission and end[-1:] != "" and end[-1] in TERMINATORS
@@ -108,7 +113,8 @@ def signs_of_end(text: str | None) -> tuple:
         terminated = False
     # tags at the very end may close what is open
     unclosed = bool(stack_of(body[: omitted.start()] if omitted else bare))
-    broken = bool(BROKEN.search(bare)) and not terminated
+    may_break = bare[-1] in BROKEN_ENDS or "&" in bare[-10:] or "\\" in bare[-6:] or "%" in bare[-2:] or bare.rfind("<") > bare.rfind(">")
+    broken = not terminated and may_break and bool(BROKEN.search(bare))
     return terminated, unclosed, broken, omission, closed, False, last.isdigit(), chars, size
 
 
