@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodestone.functions.scalars import SPACES
 from lodestone.runtime import materialize
 
 
@@ -21,7 +22,7 @@ def canonical_id(col: Column) -> Column:
 
     Null stays null; a blank id gives null. An id without a colon only loses its outer white space.
     """
-    bare = F.regexp_replace(col, r"(?U)^[\s\x{FEFF}]+|[\s\x{FEFF}]+$", "")
+    bare = F.btrim(col, F.lit(SPACES + "\ufeff"))
     at = F.instr(bare, ":")
     folded = F.when(at > 0, F.concat(F.upper(F.substring(bare, F.lit(1), at - 1)), F.substring(bare, at, F.length(bare)))).otherwise(bare)
     return F.when(folded != "", folded)
@@ -75,17 +76,17 @@ def orphan_references(
     """
     endpoint = F.explode(F.array(*[F.struct(F.lit(e).alias("endpoint"), canonical_id(F.col(e)).alias("key")) for e in endpoints]))
     refs = children.select(F.col(child_id).alias("id"), F.col(child_time).alias("at"), endpoint.alias("r"))
-    refs = refs.select("id", "at", "r.*").where(F.col("key").isNotNull())
+    # the distinct references are read by four branches, so they are written once
+    refs = materialize(refs.select("id", "at", "r.*").where(F.col("key").isNotNull()).distinct(), "references")
     alive = parents.select(canonical_id(F.col(parent_id)).alias("key"), F.col(arrived).alias("arrived"), F.col(deleted).alias("deleted")).where(F.col("key").isNotNull())
-    # three branches read the distinct references, so they are written once
-    wanted = materialize(refs.select("key", "at").distinct(), "references")
+    wanted = refs.select("key", "at").distinct()
     keys = alive.select("key").distinct()
     missing = wanted.join(keys, "key", "left_anti").select("key", "at", F.lit("missing").alias("reason"))
     there = _alive(wanted.where(F.col("at").isNotNull()).join(keys, "key", "left_semi"), alive)
     dead = there.where(F.col("living") <= 0).select("key", "at", F.when(F.col("came") == 0, "late").otherwise("deleted").alias("reason"))
     lost = missing.unionByName(dead).toDF("lost_key", "lost_at", "reason")
     hit = (F.col("key") == F.col("lost_key")) & F.col("at").eqNullSafe(F.col("lost_at"))
-    return refs.join(lost, hit).select("id", "endpoint", "key", "at", "reason").distinct()
+    return refs.join(lost, hit).select("id", "endpoint", "key", "at", "reason")
 
 
 def orphan_report(children: DataFrame, parents: DataFrame, **names) -> DataFrame:
