@@ -23,15 +23,18 @@ MAX_FILES = 50_000  # compared files and their fields are broadcast up to this n
 MAX_PAIRS = 200_000  # pairs of field names that are collected at most
 
 
-def _kind(value: Column) -> Column:
-    shape = F.schema_of_variant(value)
-    return (
-        F.when(shape.startswith("OBJECT"), "object")
-        .when(shape.startswith("ARRAY"), "array")
-        .when(shape == "STRING", "string")
-        .when(shape == "BOOLEAN", "boolean")
-        .when(shape != "VOID", "number")
-    )
+def _lowered(json_text: Column) -> Column:
+    """Lower case, without the keys of objects."""
+    return F.lower(F.when(json_text.contains('":'), F.regexp_replace(json_text, r'"(?:[^"\\\\]|\\\\.)*"\s*:', " ")).otherwise(json_text))
+
+
+def _canonical(low: Column) -> Column:
+    flag = F.when(low.isin("true", '"y"', '"yes"', '"true"'), "1").when(low.isin("false", '"n"', '"no"', '"false"'), "0")
+    joined = F.when(low.contains("-"), F.regexp_replace(low, r"(?<=\d)-(?=\d)", "")).otherwise(low)
+    words = F.regexp_extract_all(joined, F.lit(r"(\d+(?:\.\d+)?|\p{L}+)"), F.lit(1))
+    zeroes = lambda w: F.rtrim(F.regexp_replace(F.regexp_replace(w, r"^0+(?=\d)", ""), r"(\.\d*?)0+$", "$1"), F.lit("."))
+    plain = F.when(joined.contains("0"), F.transform(words, zeroes)).otherwise(words)  # without a zero there is none to drop
+    return F.coalesce(flag, F.array_join(F.sort_array(plain), " "))
 
 
 def canonical_value(json_text: Column) -> Column:
@@ -40,26 +43,20 @@ def canonical_value(json_text: Column) -> Column:
     Words and numbers in alphabetical order, without keys, punctuation, leading zeroes of whole
     numbers or trailing zeroes of fractions; dates as eight digits; flags as 1 and 0.
     """
-    text = F.lower(F.regexp_replace(json_text, r'"(?:[^"\\\\]|\\\\.)*"\s*:', " "))
-    flag = F.when(text.isin("true", '"y"', '"yes"', '"true"'), "1").when(text.isin("false", '"n"', '"no"', '"false"'), "0")
-    joined = F.regexp_replace(text, r"(?<=\d)-(?=\d)", "")
-    words = F.regexp_extract_all(joined, F.lit(r"(\d+(?:\.\d+)?|\p{L}+)"), F.lit(1))
-    plain = F.transform(words, lambda w: F.regexp_replace(F.regexp_replace(w, r"^0+(?=\d)", ""), r"(\.\d*?)0+$", "$1"))
-    return F.coalesce(flag, F.array_join(F.sort_array(F.transform(plain, lambda w: F.rtrim(w, F.lit(".")))), " "))
-
-
-def _fields(payload: str) -> Column:
-    """The row's fields as map entries of variants (null for a row that is no object)."""
-    v = F.try_parse_json(F.col(payload))
-    return F.map_entries(F.when(F.schema_of_variant(v).startswith("OBJECT"), v).cast("map<string,variant>"))
+    return _canonical(_lowered(json_text))
 
 
 def _cells(payload: str) -> Column:
-    """The row's fields as array<struct<field, kind, value, text>> (null for a row that is no object)."""
-    return F.transform(
-        _fields(payload),
-        lambda e: F.struct(e["key"].alias("field"), _kind(e["value"]).alias("kind"), canonical_value(F.to_json(e["value"])).alias("value"), F.to_json(e["value"]).alias("text")),
-    )
+    """The row's fields as array<struct<field, kind, value, text>> (null for a row that is no object).
+
+    In steps, as an expression within a lambda is evaluated anew wherever it is named.
+    """
+    v = F.try_parse_json(F.col(payload))
+    fields = F.map_entries(F.when(F.schema_of_variant(v).startswith("OBJECT"), v).cast("map<string,variant>"))
+    texts = F.transform(fields, lambda e: F.struct(e["key"].alias("field"), F.coalesce(F.to_json(e["value"]), F.lit("null")).alias("text")))
+    heads = F.transform(texts, lambda c: F.struct(c["field"].alias("field"), c["text"].alias("text"), F.substring(c["text"], 1, 1).alias("head"), _lowered(c["text"]).alias("low")))
+    kind = lambda h: F.when(h == '"', "string").when(h == "{", "object").when(h == "[", "array").when(h.isin("t", "f"), "boolean").when(h != "n", "number")
+    return F.transform(heads, lambda c: F.struct(c["field"].alias("field"), kind(c["head"]).alias("kind"), _canonical(c["low"]).alias("value"), c["text"].alias("text")))
 
 
 def _refuse(constant: str):
