@@ -240,14 +240,13 @@ def parse_lines(lines: DataFrame, line_id: str = "line_id", family: str = "famil
     """Each data line as `(line_id, family, code, fields)`; code is null for a loadable line.
 
     Header lines (line_no 0) are left out. A null line counts as a blank one (column_count); a null
-    line_no as a data line. Lines of a family without known columns get no result row. Repeated
+    line_no, or a table without that column, as data lines. Lines of a family without known columns get no result row. Repeated
     lines are judged one by one. Columns of the input besides the four named are ignored, whatever
     their names.
     """
     kind = lines.schema[line_id].dataType
-    source = lines.select(
-        F.col(line_id).alias("line_id"), F.upper(F.trim(F.col(family))).alias("family"), F.col(line).alias("line")
-    ).where(F.coalesce(F.col(line_no), F.lit(1)) != 0) if line_no in lines.columns else None
+    body = lines.where(F.coalesce(F.col(line_no), F.lit(1)) != 0) if line_no in lines.columns else lines
+    source = body.select(F.col(line_id).alias("line_id"), F.upper(F.trim(F.col(family))).alias("family"), F.col(line).alias("line"))
     known = source.where(F.col("family").isin(*FAMILIES))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -116,12 +116,42 @@ def p3_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drift.unified(feed, drift.chained(feed, PRODUCT_FIELDS))
 
 
-@query()
+# A field is quoted (quotes inside doubled) or holds no separator and does not start with a quote
+_FLD = r'(?:[ \t]*"(?:[^"]|"")*"[ \t]*|[ \t]*(?:[^"$ \t][^$]*)?)'
+_TRIM = r"regexp_replace({0}, '^[ \t]+|[ \t]+$', '', 'g')"
+_CONTROL = r"[\x00-\x1f\x7f\x{80}-\x{9f}\x{FFFD}]"
+_WIDTH = "CASE family " + " ".join(f"WHEN '{f}' THEN {len(c)}" for f, c in rejects.FAMILIES.items()) + " END"
+
+
+def _wrong(family: str) -> str:
+    """SQL: whether a field of the family's values is invalid."""
+    out = []
+    for i, c in enumerate(rejects.FAMILIES[family], 1):
+        if c in rejects.PATTERNS:
+            out.append(f"NOT regexp_matches(vals[{i}], '{rejects.PATTERNS[c]}')")
+        elif c in rejects.DATES:
+            out.append(f"NOT (regexp_matches(vals[{i}], '^[0-9]{{8}}$') AND vals[{i}] >= '00010101' AND try_strptime(vals[{i}], '%Y%m%d') IS NOT NULL)")
+    return " OR ".join(out)
+
+
+_PARSED = f"""
+WITH c AS (SELECT line_id, upper(trim(family)) AS family, {_TRIM.format("regexp_replace(" + _TRIM.format("coalesce(line, '')") + ", chr(13) || '$', '')")} AS l FROM raw_lines WHERE coalesce(line_no, 1) <> 0),
+f AS (SELECT *, regexp_full_match(l, '(?:{_FLD}[$])*{_FLD}') AS closed, regexp_extract_all(l, '{_FLD}[$]') AS raw FROM c WHERE family IN ({', '.join(f"'{f}'" for f in rejects.FAMILIES)})),
+g AS (SELECT *, {_TRIM.format("substr(l, coalesce(list_sum(list_transform(raw, lambda x: length(x))), 0)::BIGINT + 1)")} <> '' AS loose, list_transform(raw, lambda x: {_TRIM.format('substr(x, 1, length(x) - 1)')}) AS cells FROM f),
+h AS (SELECT *, list_transform(cells, lambda x: CASE WHEN starts_with(x, '"') THEN {_TRIM.format('substr(x, 2, length(x) - 2)')} ELSE x END) AS bare FROM g),
+v AS (SELECT *, list_transform(list_zip(cells, bare), lambda x: CASE WHEN starts_with(x[1], '"') THEN replace(x[2], '""', '"') ELSE x[2] END) AS vals FROM h),
+p AS (SELECT line_id, family, vals, CASE WHEN NOT closed THEN 'quoting' WHEN len(raw) <> {_WIDTH} OR loose THEN 'column_count'
+  WHEN len(list_filter(bare, lambda x: regexp_matches(x, '{_CONTROL}'))) > 0 THEN 'encoding' WHEN vals[1] = '' THEN 'missing_primaryid'
+  WHEN CASE family {' '.join(f"WHEN '{f}' THEN {_wrong(f)}" for f in rejects.FAMILIES)} END THEN 'invalid_value' END AS code FROM v)
+"""
+
+
+@query(_PARSED + "SELECT line_id, code FROM p WHERE code IS NOT NULL")
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.rejects(table(spark, sf_dir, "raw_lines"))
 
 
-@query()
+@query(_PARSED + f"SELECT family, count(*) AS lines, count(*) FILTER (WHERE code IS NULL) AS loaded, {', '.join(f'count(*) FILTER (WHERE code = {chr(39)}{c}{chr(39)}) AS {c}' for c in rejects.CODES)} FROM p GROUP BY family")
 def p5_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.reject_report(table(spark, sf_dir, "raw_lines"))
 
@@ -131,7 +161,7 @@ def _loaded(family: str) -> None:
         return rejects.loaded(table(spark, sf_dir, "raw_lines"), family)
 
     loaded.__name__ = f"p5_loaded_{family.lower()}"
-    query()(loaded)
+    query(_PARSED + f"SELECT line_id, {', '.join(f'vals[{i}] AS {c.lower()}' for i, c in enumerate(rejects.FAMILIES[family], 1))} FROM p WHERE family = '{family}' AND code IS NULL")(loaded)
 
 
 for _family in rejects.FAMILIES:

@@ -10,6 +10,7 @@ from lodestone.operators import nested, quality
 from lodestone.operators import relational as R
 from lodestone.operators import textmine as T
 from lodestone.plans import assertions, exports
+from lodestone.plans.data_quality import OBJECTS
 from lodestone.registry import query
 from lodestone.runtime import materialize, table
 from lodestone.schemas import CASES
@@ -283,7 +284,8 @@ def verbatim_corroboration(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.join(n, "spl_set_id").where(S.contains_words(F.col("text"), F.col("needle"))).select("doc_id", "needle")
 
 
-@query()
+@query(OBJECTS + f""", n AS (SELECT DISTINCT spl_set_id, {_norm("j->>'$.name'")} AS needle FROM objects WHERE kind = 'ingredients' AND json_type(j) = 'OBJECT' AND spl_set_id IS NOT NULL)
+SELECT DISTINCT d.doc_id, n.needle FROM documents d JOIN n USING (spl_set_id) WHERE n.needle <> '' AND contains(' ' || {_norm('d.text')} || ' ', ' ' || n.needle || ' ')""")
 def verbatim_ingredients(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct `(doc_id, needle)` of texts that name an ingredient of their label, at whatever position, depth and form."""
     r = table(spark, sf_dir, "label_records").where("spl_set_id is not null")
