@@ -225,3 +225,20 @@ def dictionary_joins(texts: DataFrame, text: str, terms: DataFrame, term: str, o
     hits = met.groupBy("__t").agg(F.array_sort(F.collect_set("__m")).alias("__ms"))
     empty = F.array().cast(hits.schema["__ms"].dataType)
     return texts.join(hits, F.col(text) == F.col("__t"), "left").withColumn("matches", F.when(F.col(text).isNotNull(), F.coalesce("__ms", empty))).drop("__t", "__ms")
+
+
+def phrase_matches(texts: DataFrame, ident: str, text: str, phrases: DataFrame, phrase: str, most: int = 6) -> DataFrame:
+    """`(ident, phrase)`, distinct: which phrases each text holds on word bounds; both in matching form (words and single blanks).
+
+    Texts give their runs of up to `most` words, which meet the phrases by equality; a longer phrase
+    meets by its first words and is then looked for in the texts met. No text is compared with phrases
+    that it shares no such run with. Nulls and blank phrases meet nothing.
+    """
+    runs = lambda words, n: F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.array_join(F.slice(words, i + 1, n), " "))
+    asked = phrases.select(F.col(phrase).alias("__p")).where("__p <> ''").distinct().withColumn("__run", F.array_join(F.slice(F.split("__p", " "), 1, most), " "))
+    words = texts.select(F.col(ident).alias("__id"), F.split(F.col(text), " ").alias("__w"))
+    every = [F.when(F.size("__w") >= n, runs(F.col("__w"), n)).otherwise(F.array().cast("array<string>")) for n in range(1, most + 1)]
+    met = words.select("__id", F.explode(F.array_distinct(F.concat(*every))).alias("__run")).join(asked, "__run")
+    long = F.size(F.split("__p", " ")) > most
+    told = met.where(long).join(texts.select(F.col(ident).alias("__id"), F.col(text).alias("__t")), "__id").where(S.contains_words(F.col("__t"), F.col("__p"))).select("__id", "__p")
+    return met.where(~long).select("__id", "__p").unionByName(told).distinct().select(F.col("__id").alias(ident), F.col("__p").alias(phrase))

@@ -67,6 +67,16 @@ def _dictionary_object(rows: DataFrame, text: str, terms: DataFrame) -> DataFram
     ).withColumn("object_category", F.coalesce(first["category"], F.lit("Disease")))
 
 
+def _case_rows(cases: DataFrame) -> DataFrame:
+    """`(norm, object_text, fallback, quarter, primaryid, record, seq)`: rows with a number and an indication that is no placeholder."""
+    col = lambda c: S.text(F.col(c)) if c in cases.columns else F.lit("")
+    return cases.select(
+        S.application_key(F.when(col("nda") != "", col("nda")).otherwise(col("nda_raw"))).alias("norm"), S.stripped(col("indication")).alias("object_text"),
+        S.stripped(F.when(col("ingredient") != "", col("ingredient")).otherwise(col("drugname"))).alias("fallback"), F.upper(S.stripped(col("quarter"))).alias("quarter"),
+        S.stripped(col("primaryid")).alias("primaryid"), S.stripped(col("source_record_id")).alias("record"), col("drug_seq").alias("seq"),
+    ).where("norm <> '' and object_text <> ''").where(~S.is_placeholder(F.col("object_text")))
+
+
 def case_pairs(cases: DataFrame, quarter_urls: DataFrame | None = None, numbers: DataFrame | None = None) -> DataFrame:
     """`(norm, object_text, fallback, records, urls)` per number and indication, of the given numbers only if there are any.
 
@@ -74,12 +84,7 @@ def case_pairs(cases: DataFrame, quarter_urls: DataFrame | None = None, numbers:
     blank. Placeholder indications and blank keys go. quarter_urls `(quarter, url)` overrides the
     derived URLs.
     """
-    col = lambda c: S.text(F.col(c)) if c in cases.columns else F.lit("")
-    rows = cases.select(
-        S.application_key(F.when(col("nda") != "", col("nda")).otherwise(col("nda_raw"))).alias("norm"), S.stripped(col("indication")).alias("object_text"),
-        S.stripped(F.when(col("ingredient") != "", col("ingredient")).otherwise(col("drugname"))).alias("fallback"), F.upper(S.stripped(col("quarter"))).alias("quarter"),
-        S.stripped(col("primaryid")).alias("primaryid"), S.stripped(col("source_record_id")).alias("record"), col("drug_seq").alias("seq"),
-    ).where("norm <> '' and object_text <> ''").where(~S.is_placeholder(F.col("object_text")))
+    rows = _case_rows(cases)
     if numbers is not None:
         rows = rows.join(numbers, "norm", "left_semi")
     url = F.when((F.col("quarter") != "") & (F.col("primaryid") != ""), S.quarter_url(F.col("quarter")))
@@ -137,31 +142,50 @@ def label_candidates(evidence: LabelEvidence, terms: DataFrame, miner: Miner | N
     return first.select("*", F.lit("").alias("fallback"), empty.alias("records"), empty.alias("urls"))
 
 
-def corroborated(candidates: DataFrame, evidence: LabelEvidence, terms: DataFrame, miner: Miner | None = None) -> DataFrame:
-    """`(norm, object_text, spl_set_id, docs)`: approved labels whose indication section names the candidate's condition.
+def _marks(candidates: DataFrame, evidence: LabelEvidence, terms: DataFrame, miner: Miner | None = None) -> tuple[DataFrame, DataFrame]:
+    """(wanted, given): `(norm, object_text, mark)` that would name a candidate, and `(norm, mark, spl_set_id, docs)` that labels hold.
 
-    Named: by a dictionary term of the same CURIE (or the same text, if either has none), verbatim on
-    word bounds, or by a mention that equals the condition or is a part of it.
+    A mark is a CURIE, a term, a phrase or a mention with its kind before it, so that candidates and
+    labels meet by equality within a number. Texts are searched once each, whatever the number of
+    labels that share them or of candidates that ask.
     """
-    docs = evidence.sections.where("loinc_code = '34067-9'")
-    hits = R.dictionary_matches(docs, "text", terms, "term", "ordinal").withColumn("norm_text", S.normalize_text(F.col("text")))
+    mark = lambda kind, c: F.concat(F.lit(f"{kind}:"), c)
+    docs = evidence.sections.where("loinc_code = '34067-9'").select("spl_set_id", "doc_id", "text").distinct()
+    hits = R.dictionary_matches(docs.select("text").distinct(), "text", terms, "term", "ordinal")
     if miner is not None:
-        hits = T.mined(hits, "text", miner).withColumn("said", F.transform("mentions", lambda m: S.normalize_text(m["text"]))).drop("mentions")
+        hits = T.mined(hits, "text", miner).withColumn("said", F.transform("mentions", lambda m: S.normalize_text(m["text"])))
     else:
         hits = hits.withColumn("said", F.array().cast("array<string>"))
+    own = lambda x, curie, term: F.array(F.when(curie != "", mark("curie", curie)), mark("term", term), F.when(curie == "", mark("bare", term)))
+    named = F.flatten(F.transform("matches", lambda x: own(x, F.coalesce(x["curie"], F.lit("")), S.normalize_text(x["term"]))))
+    marks = F.array_distinct(F.array_compact(F.concat(named, F.transform("said", lambda m: mark("mention", m)))))
+    texts = materialize(hits.select(F.monotonically_increasing_id().alias("text_id"), "text", S.normalize_text(F.col("text")).alias("words"), "said", marks.alias("marks")), "texts")
+    curie, needle = F.col("curie"), F.col("needle")
+    asked = candidates.select("norm", "object_text", F.coalesce("object_curie", F.lit("")).alias("curie"), S.normalize_text(F.col("object_text")).alias("needle")).where("needle <> ''")
+    asked = materialize(asked, "asked")
+    # a term counts if its CURIE is the candidate's, or by its text if either has none
+    ways = F.array(F.when(curie != "", mark("curie", curie)), F.when(curie == "", mark("term", needle)).otherwise(mark("bare", needle)), mark("phrase", needle))
+    wanted = asked.select("norm", "object_text", F.explode(F.array_compact(ways)).alias("mark"))
+    if miner is not None:
+        parts = R.phrase_matches(asked.select("needle").distinct(), "needle", "needle", texts.select(F.explode("said").alias("phrase")), "phrase")
+        wanted = wanted.unionByName(asked.join(parts, "needle").select("norm", "object_text", mark("mention", F.col("phrase")).alias("mark")))
+    said = texts.select("text_id", F.explode("marks").alias("mark")).unionByName(
+        R.phrase_matches(texts, "text_id", "words", asked, "needle").select("text_id", mark("phrase", needle).alias("mark"))
+    )
     labels = evidence.approvals.select("norm", "spl_set_id").distinct()
-    hits = hits.withColumn("terms", F.transform("matches", lambda x: F.struct(F.coalesce(x["curie"], F.lit("")).alias("curie"), S.normalize_text(x["term"]).alias("norm")))).drop("matches")
-    hits = hits.withColumn("docs_text", F.concat(F.lit(" "), "norm_text", F.lit(" "))).groupBy("spl_set_id", "docs_text", "terms", "said").agg(F.collect_set("doc_id").alias("doc_ids"))
-    asked = candidates.select("norm", "object_text", "object_curie", S.normalize_text(F.col("object_text")).alias("needle")).where("needle <> ''")
-    # reached by the number and the label, never by comparing all texts with all conditions
-    met = asked.join(labels, "norm").join(hits, "spl_set_id")
-    needle = F.col("needle")
-    by_curie = (F.col("object_curie") != "") & F.array_contains(F.transform("terms", lambda x: x["curie"]), F.col("object_curie"))
-    by_term = F.exists("terms", lambda x: (x["norm"] == needle) & ((F.col("object_curie") == "") | (x["curie"] == "")))
-    verbatim = F.instr(F.col("docs_text"), F.concat(F.lit(" "), needle, F.lit(" "))) > 0
-    by_mention = F.exists("said", lambda m: S.contains_words(needle, m))
-    named = verbatim | by_curie | by_term | by_mention
-    return met.where(named).groupBy("norm", "object_text", "spl_set_id").agg(F.array_distinct(F.flatten(F.collect_set("doc_ids"))).alias("docs"))
+    at = docs.join(texts.select("text_id", "text"), "text").select("text_id", "spl_set_id", "doc_id")
+    given = said.join(at, "text_id").join(labels, "spl_set_id").groupBy("norm", "mark", "spl_set_id").agg(F.collect_set("doc_id").alias("docs"))
+    return wanted, given
+
+
+def corroborated(candidates: DataFrame, evidence: LabelEvidence, terms: DataFrame, miner: Miner | None = None) -> DataFrame:
+    """`(norm, object_text, spl_set_id, docs)`: approved labels whose indication section names the candidate's condition.
+
+    Named: by a dictionary term of the same CURIE (or the same text, if either has none), verbatim on
+    word bounds, or by a mention that equals the condition or is a part of it.
+    """
+    wanted, given = _marks(candidates, evidence, terms, miner)
+    return wanted.join(given, ["norm", "mark"]).groupBy("norm", "object_text", "spl_set_id").agg(F.array_distinct(F.flatten(F.collect_set("docs"))).alias("docs"))
 
 
 def _provenance(c: DataFrame) -> DataFrame:
@@ -210,13 +234,18 @@ def approved_from_cases(cases: DataFrame, evidence: LabelEvidence, products: Dat
 def gate_counts(cases: DataFrame, evidence: LabelEvidence, products: DataFrame, terms: DataFrame, miner: Miner | None = None) -> DataFrame:
     """How many candidates of a case table fall at each gate, counted at the first they fail: `(gate, candidates)`.
 
-    Conditions are looked up only for those that pass the gates on numbers.
+    Conditions are looked up only for those that pass the gates on numbers; labels are told apart only
+    by whether one with a single ingredient is among them, so nothing grows with candidates times labels.
     """
     flag = lambda df, name: df.withColumn(name, F.lit(True))
-    pairs = materialize(case_pairs(cases).join(flag(mapped_numbers(products), "mapped"), "norm", "left").join(flag(backed_numbers(evidence), "backed"), "norm", "left"), "candidates")
+    first = F.min(F.struct("primaryid", "seq", "record", "fallback"))["fallback"]
+    pairs = _case_rows(cases).groupBy("norm", "object_text").agg(first.alias("fallback"))
+    pairs = materialize(pairs.join(flag(mapped_numbers(products), "mapped"), "norm", "left").join(flag(backed_numbers(evidence), "backed"), "norm", "left"), "candidates")
     open_pairs = _dictionary_object(pairs.where("mapped and backed").select("norm", "object_text"), "object_text", terms).drop("matches", "object_term")
-    support = corroborated(open_pairs, evidence, terms, miner).join(flag(evidence.singles.select("spl_set_id").distinct(), "single"), "spl_set_id", "left")
-    named = support.groupBy("norm", "object_text").agg(F.lit(True).alias("named"), F.bool_or(F.col("single").isNotNull()).alias("single"))
+    wanted, given = _marks(open_pairs, evidence, terms, miner)
+    single = flag(evidence.singles.select("spl_set_id").distinct(), "single")
+    given = given.join(single, "spl_set_id", "left").groupBy("norm", "mark").agg(F.bool_or(F.col("single").isNotNull()).alias("single"))
+    named = wanted.join(given, ["norm", "mark"]).groupBy("norm", "object_text").agg(F.lit(True).alias("named"), F.bool_or("single").alias("single"))
     rows = pairs.join(named, ["norm", "object_text"], "left")
     gate = (
         F.when(F.col("mapped").isNull(), "no_product").when(F.col("backed").isNull(), "no_label").when(F.col("named").isNull(), "not_named")

@@ -48,6 +48,42 @@ def test_approved_by_cases(world):
     assert dict(pick(A.gate_counts(blank, several, products, terms), "gate", "candidates")) == {"no_subject": 2, "not_named": 1}
 
 
+def most_rows(df):
+    """The rows of the largest step of a query's last job, as it ran."""
+    df.collect()
+    todo, most = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        rows = node.metrics().get("numOutputRows")
+        most = max(most, rows.get().value() if rows.isDefined() else 0)
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return most
+
+
+@pytest.fixture
+def crowd(spark):
+    """One number with 60 conditions and 50 labels, of which each names one."""
+    word = lambda i: "".join(chr(97 + int(d)) for d in f"{i:02}") + "itis"
+    cases = spark.createDataFrame([("24Q3", str(i), "1", "Drug", "", "7", "", f"{word(i)} of the ear", f"r{i}") for i in range(60)], "quarter string, primaryid string, drug_seq string, drugname string, ingredient string, nda string, nda_raw string, indication string, source_record_id string")
+    approvals = spark.createDataFrame([(f"S{i}", "7", "7", "NDA") for i in range(50)], "spl_set_id string, approval_id string, approval_code string, approval_type string")
+    ingredients = spark.createDataFrame([(f"S{i}", "Drug", "U:1", "active", 0) for i in range(50)], "spl_set_id string, ingredient_name string, ingredient_unii string, role string, at int")
+    sections = spark.createDataFrame([(f"S{i}", f"S{i}#34067-9", "34067-9", f"Treats {word(i)} of the ear.", "") for i in range(50)], "spl_set_id string, spl_document_id string, loinc_code string, clean_text string, raw_text string")
+    terms = spark.createDataFrame([(1, "bbitis", "D:1", "bbitis", "Disease")], "ordinal bigint, term string, curie string, name string, category string")
+    return A.label_evidence(approvals, ingredients, sections), cases, spark.createDataFrame([("7", "A")], "appl_no_stripped string, active_ingredient string"), terms
+
+
+def test_gates_never_pair_all_candidates_of_a_number_with_all_its_labels(crowd):
+    evidence, cases, products, terms = crowd
+    gates = A.gate_counts(cases, evidence, products, terms)
+    assert dict(pick(gates, "gate", "candidates")) == {"passed": 50, "not_named": 10}
+    assert most_rows(gates) < 1000
+
+
 def test_contracts_are_the_fixed_headers():
     assert "\t".join(APPROVED).startswith("subject_text\tsubject_curie\tsubject_name\tsubject_category\tpredicate\tobject_text\tobject_curie\tobject_name\tobject_category\tapproval_ids\tsupporting_spl_sets")
     assert APPROVED[13:] == ("clinical_approval_status", "knowledge_level", "agent_type", "primary_knowledge_source", "upstream_resource_ids", "edge_evidence", "supporting_faers_records", "supporting_faers_urls")

@@ -102,3 +102,11 @@ def test_edges_merge_to_the_same_whatever_the_order(spark, rows):
 def test_null_keys_are_not_deleted(spark, rows):
     df = spark.createDataFrame([(None, 1), ("a ", 2), ("b", 3)], "k string, v int")
     assert rows(R.without_deleted(df, spark.createDataFrame([("a",), (None,)], "k string"), ["k"]).select("v")) == [(1,), (3,)]
+
+
+def test_phrases_of_any_length_are_found_on_word_bounds(spark, rows):
+    draw = random.Random(7)
+    texts = [(i, " ".join(draw.choices("abc", k=draw.randint(1, 14)))) for i in range(60)] + [(98, ""), (99, None)]
+    phrases = [" ".join(draw.choices("abc", k=draw.randint(1, 9))) for _ in range(150)] + [" ".join(texts[i][1].split()[:n]) for i in range(20) for n in (7, 8, 14)] + ["", None, "aa", "a"]
+    found = R.phrase_matches(spark.createDataFrame(texts, "i int, t string"), "i", "t", spark.createDataFrame([(p,) for p in phrases], "p string"), "p")
+    assert rows(found) == sorted({(i, p) for i, t in texts for p in phrases if t and p and f" {p} " in f" {t} "}, key=repr)
