@@ -97,7 +97,7 @@ def case_pairs(cases: DataFrame, quarter_urls: DataFrame | None = None, numbers:
 
 def case_candidates(cases: DataFrame, terms: DataFrame, quarter_urls: DataFrame | None = None, numbers: DataFrame | None = None) -> DataFrame:
     """case_pairs() with the object's dictionary entry: `(norm, object_text, object_curie, object_name, object_category, fallback, records, urls)`."""
-    return _dictionary_object(case_pairs(cases, quarter_urls, numbers), "object_text", terms).drop("matches", "object_term")
+    return _dictionary_object(materialize(case_pairs(cases, quarter_urls, numbers), "pairs"), "object_text", terms).drop("matches", "object_term")
 
 
 def mapped_numbers(products: DataFrame) -> DataFrame:

@@ -100,8 +100,8 @@ approved AS (SELECT subject_text, coalesce(arg_min(subject_curie, norm) FILTER (
 _CASES_CHAIN = OBJECTS + ", " + ", ".join((_LABELS, _PAIRS, _OBJECT, _SUPPORT, _APPROVED))
 
 
-def _approved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return assertions.approved_from_cases(table(spark, sf_dir, "cases"), _evidence(spark, sf_dir), table(spark, sf_dir, "drugsfda_products"), _terms(spark, sf_dir))
+def _approved(spark: SparkSession, sf_dir: str, evidence: assertions.LabelEvidence | None = None) -> DataFrame:
+    return assertions.approved_from_cases(table(spark, sf_dir, "cases"), evidence or _evidence(spark, sf_dir), table(spark, sf_dir, "drugsfda_products"), _terms(spark, sf_dir))
 
 
 @query(_CASES_CHAIN + "SELECT * FROM approved")
@@ -182,8 +182,8 @@ def contraindications(spark: SparkSession, sf_dir: str) -> DataFrame:
 def relation_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Broken invariants of all three relations (none, if all is well)."""
     evidence, terms = _evidence(spark, sf_dir), _terms(spark, sf_dir)
-    approved = _approved(spark, sf_dir)
-    relations = {
-        "approved": approved, "observed_use": assertions.observed_uses(table(spark, sf_dir, "cases"), terms, approved), "contraindication": assertions.contraindications(evidence, _gazetteer(spark, sf_dir).match),
-    }
-    return R.union_all([quality.invariant_violations(materialize(rows, name), name, assertions.PRIMARY_SOURCE) for name, rows in relations.items()])
+    approved = materialize(_approved(spark, sf_dir, evidence), "approved")
+    observed = assertions.observed_uses(table(spark, sf_dir, "cases"), terms, approved)
+    contraindicated = assertions.contraindications(evidence, _gazetteer(spark, sf_dir).match)
+    relations = {"approved": approved, "observed_use": materialize(observed, "observed"), "contraindication": materialize(contraindicated, "contraindicated")}
+    return R.union_all([quality.invariant_violations(rows, name, assertions.PRIMARY_SOURCE) for name, rows in relations.items()])

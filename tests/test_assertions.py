@@ -84,6 +84,24 @@ def test_gates_never_pair_all_candidates_of_a_number_with_all_its_labels(crowd):
     assert most_rows(gates) < 1000
 
 
+def test_the_approved_relation_never_pairs_all_candidates_of_a_number_with_all_its_labels(crowd):
+    evidence, cases, _, terms = crowd
+    named = A.corroborated(A.case_candidates(cases, terms), evidence, terms)
+    assert pick(named, "norm", "spl_set_id") == sorted(("7", f"S{i}") for i in range(50))
+    assert most_rows(named) < 1000
+
+
+def test_invariants_read_the_labels_and_make_each_relation_once(spark, monkeypatch):
+    from lodestone.plans import relation_queries as Q
+
+    calls = []
+    for module, name in ((Q, "_evidence"), (Q, "materialize"), (A, "materialize")):
+        real = getattr(module, name)
+        monkeypatch.setattr(module, name, lambda *a, real=real, name=name: (calls.append(a[1] if name == "materialize" else name), real(*a))[1])
+    assert Q.relation_invariants(spark, "/root/testdata/sf0.001").count() == 0
+    assert calls.count("_evidence") == calls.count("approved") == calls.count("candidates") == 1
+
+
 def test_contracts_are_the_fixed_headers():
     assert "\t".join(APPROVED).startswith("subject_text\tsubject_curie\tsubject_name\tsubject_category\tpredicate\tobject_text\tobject_curie\tobject_name\tobject_category\tapproval_ids\tsupporting_spl_sets")
     assert APPROVED[13:] == ("clinical_approval_status", "knowledge_level", "agent_type", "primary_knowledge_source", "upstream_resource_ids", "edge_evidence", "supporting_faers_records", "supporting_faers_urls")
