@@ -126,19 +126,19 @@ def backed_numbers(evidence: LabelEvidence) -> DataFrame:
 
 def label_candidates(evidence: LabelEvidence, terms: DataFrame, miner: Miner | None = None) -> DataFrame:
     """Candidates without a case table: dictionary terms and mentions in indication sections of approved labels."""
-    docs = evidence.sections.where("loinc_code = '34067-9'").join(evidence.approvals.select("spl_set_id", "norm").distinct(), "spl_set_id")
-    hits = R.dictionary_matches(docs, "text", terms, "term", "ordinal")
+    numbers = evidence.approvals.select("spl_set_id", "norm").distinct()
+    hits = R.dictionary_matches(evidence.sections.where("loinc_code = '34067-9'"), "text", terms, "term", "ordinal")
     at = ["spl_set_id", "doc_id", "section_id"]
-    named = hits.select("norm", *at, F.explode("matches").alias("x")).select("norm", *at, F.col("x.ordinal").alias("rank"), F.col("x.term").alias("object_text"), F.col("x.curie").alias("object_curie"), F.col("x.name").alias("object_name"), F.col("x.category").alias("object_category"))
+    named = hits.select(*at, F.explode("matches").alias("x")).select(*at, F.col("x.ordinal").alias("rank"), F.col("x.term").alias("object_text"), F.col("x.curie").alias("object_curie"), F.col("x.name").alias("object_name"), F.col("x.category").alias("object_category"))
     if miner is not None:
         found = T.mined(hits, "text", miner)
         known = F.transform("matches", lambda x: S.normalize_text(x["term"]))
         behind = F.lit(1 << 40) + F.col("m.start")  # mentions come after a section's dictionary terms
-        said = found.select("norm", *at, known.alias("known"), F.explode("mentions").alias("m")).select("norm", *at, "known", behind.alias("rank"), S.normalize_text(F.col("m.text")).alias("object_text"))
+        said = found.select(*at, known.alias("known"), F.explode("mentions").alias("m")).select(*at, "known", behind.alias("rank"), S.normalize_text(F.col("m.text")).alias("object_text"))
         said = said.where((F.col("object_text") != "") & ~F.array_contains("known", F.col("object_text"))).drop("known")
         named = named.unionByName(_dictionary_object(said, "object_text", terms).drop("matches", "object_term"))
     empty = F.array().cast("array<string>")
-    first = R.keep_first(named, ["norm", "object_text"], [*at, "rank"]).drop(*at, "rank")
+    first = R.keep_first(named.join(numbers, "spl_set_id"), ["norm", "object_text"], [*at, "rank"]).drop(*at, "rank")
     return first.select("*", F.lit("").alias("fallback"), empty.alias("records"), empty.alias("urls"))
 
 
@@ -205,7 +205,7 @@ def approved_treats(candidates: DataFrame, evidence: LabelEvidence, products: Da
     ingredient of the first supporting label with a single one, else the report's own. Candidates are
     best made of the numbers that pass the first gates (approved_from_cases does so).
     """
-    passed = candidates.join(mapped_numbers(products), "norm", "left_semi")
+    passed = materialize(candidates.join(mapped_numbers(products), "norm", "left_semi"), "candidates")
     support = corroborated(passed, evidence, terms, miner)
     single = evidence.singles.select("spl_set_id", F.struct("name", "unii").alias("drug"))
     gathered = support.join(single, "spl_set_id", "left").groupBy("norm", "object_text").agg(
@@ -228,7 +228,7 @@ def approved_treats(candidates: DataFrame, evidence: LabelEvidence, products: Da
 def approved_from_cases(cases: DataFrame, evidence: LabelEvidence, products: DataFrame, terms: DataFrame, miner: Miner | None = None, quarter_urls: DataFrame | None = None) -> DataFrame:
     """approved_treats() of a case table: only rows whose number passes the first gates are grouped and looked up."""
     numbers = mapped_numbers(products).join(backed_numbers(evidence), "norm", "left_semi")
-    return approved_treats(materialize(case_candidates(cases, terms, quarter_urls, numbers), "candidates"), evidence, products, terms, miner)
+    return approved_treats(case_candidates(cases, terms, quarter_urls, numbers), evidence, products, terms, miner)
 
 
 def gate_counts(cases: DataFrame, evidence: LabelEvidence, products: DataFrame, terms: DataFrame, miner: Miner | None = None) -> DataFrame:

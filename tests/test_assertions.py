@@ -91,6 +91,14 @@ def test_the_approved_relation_never_pairs_all_candidates_of_a_number_with_all_i
     assert most_rows(named) < 1000
 
 
+def test_label_candidates_of_a_number_never_meet_all_its_labels(crowd, spark):
+    evidence, cases, products, terms = crowd
+    listed = [(i, r["indication"].split()[0], f"D:{i}", "x", "Disease") for i, r in enumerate(cases.collect())]
+    out = A.approved_treats(A.label_candidates(evidence, spark.createDataFrame(listed, terms.schema)), evidence, products, spark.createDataFrame(listed, terms.schema))
+    assert most_rows(out) < 1000
+    assert pick(out, "object_text", "supporting_spl_evidence") == sorted((t, f"dailymed:S{i}") for i, t, *_ in listed[:50])
+
+
 def test_invariants_read_the_labels_and_make_each_relation_once(spark, monkeypatch):
     from lodestone.plans import relation_queries as Q
 
