@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestone.functions import scalars as S
+from lodestone.runtime import sorted_side
 
 
 def without_deleted(rows: DataFrame, deleted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -181,7 +182,7 @@ def dictionary_matches(texts: DataFrame, text: str, terms: DataFrame, term: str,
     one = texts.select(F.col(text).alias("__t")).where("__t is not null").distinct()
     shape = ",".join(["ordinal:bigint"] + [f"{n}:string" for n in names])
     hits = one.mapInArrow(run, f"__t string, matches array<struct<{shape}>>")
-    return texts.join(hits, F.col(text) == F.col("__t"), "left").drop("__t")
+    return texts.join(sorted_side(hits), F.col(text) == F.col("__t"), "left").drop("__t")
 
 
 def merged_edges(rows: DataFrame, keys: Sequence[str], unions: Sequence[str], maxima: Sequence[str] = (), firsts: Sequence[str] = (), order: Sequence[str] = (), leads: Sequence[str] = ()) -> DataFrame:
@@ -238,7 +239,7 @@ def phrase_matches(texts: DataFrame, ident: str, text: str, phrases: DataFrame,
     asked = phrases.select(F.col(phrase).alias("__p")).where("__p <> ''").distinct().withColumn("__run", F.array_join(F.slice(F.split("__p", " "), 1, most), " "))
     words = texts.select(F.col(ident).alias("__id"), F.split(F.col(text), " ").alias("__w"))
     every = [F.when(F.size("__w") >= n, runs(F.col("__w"), n)).otherwise(F.array().cast("array<string>")) for n in range(1, most + 1)]
-    met = words.select("__id", F.explode(F.array_distinct(F.concat(*every))).alias("__run")).join(asked, "__run")
+    met = words.select("__id", F.explode(F.array_distinct(F.concat(*every))).alias("__run")).join(sorted_side(asked), "__run")
     long = F.size(F.split("__p", " ")) > most
-    told = met.where(long).join(texts.select(F.col(ident).alias("__id"), F.col(text).alias("__t")), "__id").where(S.contains_words(F.col("__t"), F.col("__p"))).select("__id", "__p")
+    told = met.where(long).join(sorted_side(texts.select(F.col(ident).alias("__id"), F.col(text).alias("__t"))), "__id").where(S.contains_words(F.col("__t"), F.col("__p"))).select("__id", "__p")
     return met.where(~long).select("__id", "__p").unionByName(told).distinct().select(F.col("__id").alias(ident), F.col("__p").alias(phrase))

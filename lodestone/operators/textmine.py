@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestone.functions import scalars as S
+from lodestone.runtime import sorted_side
 
 # Whole-field and per-mention ignore terms, in matching form.
 IGNORED = (
@@ -157,7 +158,7 @@ def mined(texts: DataFrame, text: str, miner: Callable[[str], list[dict]], colum
 
     one = texts.select(F.col(text).alias("__t")).where("__t is not null").distinct()
     hits = one.mapInArrow(run, f"__t string, __m array<{MENTION}>")
-    return texts.join(hits, F.col(text) == F.col("__t"), "left").withColumn(column, F.coalesce("__m", F.array().cast(f"array<{MENTION}>"))).drop("__t", "__m")
+    return texts.join(sorted_side(hits), F.col(text) == F.col("__t"), "left").withColumn(column, F.coalesce("__m", F.array().cast(f"array<{MENTION}>"))).drop("__t", "__m")
 
 
 def mined_with_cache(texts: DataFrame, text: str, miner: Callable[[str], list[dict]], config: str, cache: str, column: str = "mentions") -> DataFrame:
@@ -301,7 +302,7 @@ def work_items(sections: DataFrame, singles: DataFrame, keywords: str = KEYWORDS
     Indication sections keep only sentences that the keywords find, joined by blanks.
     """
     kinds = F.create_map(*[F.lit(x) for kv in SECTION_KINDS.items() for x in kv])
-    one = sections.join(singles.select("spl_set_id").distinct(), "spl_set_id", "left_semi").withColumn("section_kind", kinds[F.col("loinc_code")]).where("section_kind is not null")
+    one = sections.join(sorted_side(singles.select("spl_set_id").distinct()), "spl_set_id", "left_semi").withColumn("section_kind", kinds[F.col("loinc_code")]).where("section_kind is not null")
     text = F.when(F.col("section_kind") == "indications", S.keyword_sentences(F.col("text"), "(?i)" + keywords)).otherwise(F.col("text"))
     return one.withColumn("text", text).where(F.btrim("text") != "")
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from lodestone.functions import scalars as S
 from lodestone.operators import relational as R
 from lodestone.operators import textmine as T
-from lodestone.runtime import materialize
+from lodestone.runtime import materialize, sorted_side
 from lodestone.schemas import APPROVED, CONTRAINDICATIONS, OBSERVED, conform
 
 PRIMARY_SOURCE, LABEL_SOURCE, REPORT_SOURCE = "infores:own-approvals", "infores:labels", "infores:reports"
@@ -49,7 +49,7 @@ def label_evidence(approvals: DataFrame, ingredients: DataFrame, sections: DataF
     i = ingredients.where(F.lower(S.stripped(F.col("role"))) == "active").select(S.stripped(F.col("spl_set_id")).alias("spl_set_id"), S.stripped(F.col("ingredient_name")).alias("name"), S.stripped(F.col("ingredient_unii")).alias("unii"), place(ingredients, "ingredient_name").alias("place"))
     i = i.where("spl_set_id <> '' and name <> ''").groupBy("spl_set_id", F.lower("name").alias("fold"), "unii").agg(F.min_by("name", "place").alias("name"), F.min("place").alias("place")).drop("fold")
     count = i.groupBy("spl_set_id").agg(F.count(F.lit(1)).alias("n"))
-    singles = i.join(count.where("n = 1"), "spl_set_id").drop("n")
+    singles = i.join(sorted_side(count.where("n = 1")), "spl_set_id").drop("n")
     own = F.coalesce(F.nullif(S.stripped(F.col("clean_text")), F.lit("")), S.stripped(F.col("raw_text")))
     s = sections.select(
         S.stripped(F.col("spl_set_id")).alias("spl_set_id"), S.stripped(F.col("spl_document_id")).alias("doc_id"), S.stripped(F.col("loinc_code")).alias("loinc_code"), own.alias("text"),
@@ -121,7 +121,7 @@ def contraindicated_labels(evidence: LabelEvidence) -> DataFrame:
 def backed_numbers(evidence: LabelEvidence) -> DataFrame:
     """`norm`: numbers of labels with an indication section (the second and third gate)."""
     indicated = evidence.sections.where("loinc_code = '34067-9'").select("spl_set_id").distinct()
-    return evidence.approvals.join(indicated, "spl_set_id", "left_semi").select("norm").distinct()
+    return evidence.approvals.join(sorted_side(indicated), "spl_set_id", "left_semi").select("norm").distinct()
 
 
 def label_candidates(evidence: LabelEvidence, terms: DataFrame, miner: Miner | None = None) -> DataFrame:
@@ -168,13 +168,13 @@ def _marks(candidates: DataFrame, evidence: LabelEvidence, terms: DataFrame, min
     wanted = asked.select("norm", "object_text", F.explode(F.array_compact(ways)).alias("mark"))
     if miner is not None:
         parts = R.phrase_matches(asked.select("needle").distinct(), "needle", "needle", texts.select(F.explode("said").alias("phrase")), "phrase")
-        wanted = wanted.unionByName(asked.join(parts, "needle").select("norm", "object_text", mark("mention", F.col("phrase")).alias("mark")))
+        wanted = wanted.unionByName(asked.join(sorted_side(parts), "needle").select("norm", "object_text", mark("mention", F.col("phrase")).alias("mark")))
     said = texts.select("text_id", F.explode("marks").alias("mark")).unionByName(
         R.phrase_matches(texts, "text_id", "words", asked, "needle").select("text_id", mark("phrase", needle).alias("mark"))
     )
     labels = evidence.approvals.select("norm", "spl_set_id").distinct()
-    at = docs.join(texts.select("text_id", "text"), "text").select("text_id", "spl_set_id", "doc_id")
-    given = said.join(at, "text_id").join(labels, "spl_set_id").groupBy("norm", "mark", "spl_set_id").agg(F.collect_set("doc_id").alias("docs"))
+    at = docs.join(sorted_side(texts.select("text_id", "text")), "text").select("text_id", "spl_set_id", "doc_id")
+    given = said.join(sorted_side(at), "text_id").join(sorted_side(labels), "spl_set_id").groupBy("norm", "mark", "spl_set_id").agg(F.collect_set("doc_id").alias("docs"))
     return wanted, given
 
 
@@ -185,7 +185,7 @@ def corroborated(candidates: DataFrame, evidence: LabelEvidence, terms: DataFram
     word bounds, or by a mention that equals the condition or is a part of it.
     """
     wanted, given = _marks(candidates, evidence, terms, miner)
-    return wanted.join(given, ["norm", "mark"]).groupBy("norm", "object_text", "spl_set_id").agg(F.array_distinct(F.flatten(F.collect_set("docs"))).alias("docs"))
+    return wanted.join(sorted_side(given), ["norm", "mark"]).groupBy("norm", "object_text", "spl_set_id").agg(F.array_distinct(F.flatten(F.collect_set("docs"))).alias("docs"))
 
 
 def _provenance(c: DataFrame) -> DataFrame:
@@ -208,11 +208,11 @@ def approved_treats(candidates: DataFrame, evidence: LabelEvidence, products: Da
     passed = materialize(candidates.join(mapped_numbers(products), "norm", "left_semi"), "candidates")
     support = corroborated(passed, evidence, terms, miner)
     single = evidence.singles.select("spl_set_id", F.struct("name", "unii").alias("drug"))
-    gathered = support.join(single, "spl_set_id", "left").groupBy("norm", "object_text").agg(
+    gathered = support.join(sorted_side(single), "spl_set_id", "left").groupBy("norm", "object_text").agg(
         F.collect_set("spl_set_id").alias("sets"), F.array_distinct(F.flatten(F.collect_list("docs"))).alias("docs"), F.min_by("drug", F.when(F.col("drug").isNotNull(), F.col("spl_set_id"))).alias("drug")
     )
     display = evidence.approvals.groupBy("norm").agg(F.min_by("display", F.struct("place", "display")).alias("display"))
-    full = passed.join(gathered, ["norm", "object_text"]).join(display, "norm", "left")
+    full = passed.join(sorted_side(gathered), ["norm", "object_text"]).join(display, "norm", "left")
     full = full.withColumn("subject_text", F.coalesce("drug.name", S.stripped(F.col("fallback")))).withColumn("subject_curie", F.coalesce("drug.unii", F.lit(""))).where("subject_text <> ''")
     full = full.withColumn("approval", F.array(F.coalesce("display", "norm")))
     edges = R.merged_edges(full, ["subject_text", "object_text"], ["approval", "sets", "docs", "records", "urls"], firsts=["subject_curie", "object_curie", "object_name", "object_category"], order=["norm"])
@@ -244,9 +244,9 @@ def gate_counts(cases: DataFrame, evidence: LabelEvidence, products: DataFrame,
     open_pairs = _dictionary_object(pairs.where("mapped and backed").select("norm", "object_text"), "object_text", terms).drop("matches", "object_term")
     wanted, given = _marks(open_pairs, evidence, terms, miner)
     single = flag(evidence.singles.select("spl_set_id").distinct(), "single")
-    given = given.join(single, "spl_set_id", "left").groupBy("norm", "mark").agg(F.bool_or(F.col("single").isNotNull()).alias("single"))
-    named = wanted.join(given, ["norm", "mark"]).groupBy("norm", "object_text").agg(F.lit(True).alias("named"), F.bool_or("single").alias("single"))
-    rows = pairs.join(named, ["norm", "object_text"], "left")
+    given = given.join(sorted_side(single), "spl_set_id", "left").groupBy("norm", "mark").agg(F.bool_or(F.col("single").isNotNull()).alias("single"))
+    named = wanted.join(sorted_side(given), ["norm", "mark"]).groupBy("norm", "object_text").agg(F.lit(True).alias("named"), F.bool_or("single").alias("single"))
+    rows = pairs.join(sorted_side(named), ["norm", "object_text"], "left")
     gate = (
         F.when(F.col("mapped").isNull(), "no_product").when(F.col("backed").isNull(), "no_label").when(F.col("named").isNull(), "not_named")
         .when(~F.col("single") & (S.stripped(F.col("fallback")) == ""), "no_subject").otherwise("passed")

@@ -13,7 +13,7 @@ from lodestone.plans import assertions
 from lodestone.plans.data_quality import OBJECTS, label_tables
 from lodestone.plans.reference_queries import _STOP, _key, _norm, _strip, _terms
 from lodestone.registry import query
-from lodestone.runtime import materialize, table
+from lodestone.runtime import materialize, sorted_side, table
 
 _URL = S.LABEL_URL
 
@@ -21,7 +21,7 @@ _URL = S.LABEL_URL
 def _evidence(spark: SparkSession, sf_dir: str) -> assertions.LabelEvidence:
     """Label evidence from the nested label records, by the flat tables of problem 2; an approval's own code goes before its id."""
     tables = label_tables(spark, sf_dir)
-    sets = table(spark, sf_dir, "label_records").select("record_id", "spl_set_id")
+    sets = sorted_side(table(spark, sf_dir, "label_records").select("record_id", "spl_set_id"))
     at = [F.col("record_id").alias("ordinal"), F.col("path").alias("at")]
     coded = S.stripped(F.col("code")) != ""
     approvals = tables["approvals"].join(sets, "record_id").select(

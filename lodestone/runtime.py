@@ -83,6 +83,15 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def sorted_side(df: DataFrame) -> DataFrame:
+    """`df` as a side of a join that shuffles and sorts, never broadcast from the size of its files.
+
+    The planner takes a table's size from its files: exploded arrays and repeated texts are many times
+    that in rows, and a broadcast would gather them all on the driver.
+    """
+    return df.hint("merge")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """A scan of fewer partitions than cores, dealt out over the cores before a costly Python step.
 

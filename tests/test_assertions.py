@@ -84,6 +84,14 @@ def test_gates_never_pair_all_candidates_of_a_number_with_all_its_labels(crowd):
     assert most_rows(gates) < 1000
 
 
+def test_gates_gather_no_table_on_the_driver(crowd):
+    evidence, cases, products, terms = crowd
+    gates = A.gate_counts(cases, evidence, products, terms)
+    assert "Broadcast" not in gates._jdf.queryExecution().executedPlan().toString()
+    matched = A.R.dictionary_matches(cases, "indication", terms, "term", "ordinal")
+    assert "Broadcast" not in matched._jdf.queryExecution().executedPlan().toString()
+
+
 def test_the_approved_relation_never_pairs_all_candidates_of_a_number_with_all_its_labels(crowd):
     evidence, cases, _, terms = crowd
     named = A.corroborated(A.case_candidates(cases, terms), evidence, terms)

@@ -110,3 +110,12 @@ def test_phrases_of_any_length_are_found_on_word_bounds(spark, rows):
     phrases = [" ".join(draw.choices("abc", k=draw.randint(1, 9))) for _ in range(150)] + [" ".join(texts[i][1].split()[:n]) for i in range(20) for n in (7, 8, 14)] + ["", None, "aa", "a"]
     found = R.phrase_matches(spark.createDataFrame(texts, "i int, t string"), "i", "t", spark.createDataFrame([(p,) for p in phrases], "p string"), "p")
     assert rows(found) == sorted({(i, p) for i, t in texts for p in phrases if t and p and f" {p} " in f" {t} "}, key=repr)
+
+
+def test_runs_of_words_are_not_gathered_on_the_driver_whatever_the_size_of_their_files(spark, rows, tmp_path):
+    spark.range(50).selectExpr("id AS i", "array_join(transform(sequence(1, 50), x -> concat('w', x)), ' ') AS t").coalesce(1).write.parquet(str(tmp_path / "t"))
+    texts = spark.read.parquet(str(tmp_path / "t"))
+    phrases = spark.createDataFrame([("w2 w3",), ("w1 w2 w3 w4 w5 w6 w7 w8",), ("w3 w2",)], "p string")
+    found = R.phrase_matches(texts, "i", "t", phrases, "p")
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found.groupBy("p").count()) == [("w1 w2 w3 w4 w5 w6 w7 w8", 50), ("w2 w3", 50)]
