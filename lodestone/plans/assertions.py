@@ -91,8 +91,10 @@ def case_pairs(cases: DataFrame, quarter_urls: DataFrame | None = None, numbers:
     if quarter_urls is not None:
         rows = rows.join(quarter_urls.select("quarter", F.col("url").alias("known")), "quarter", "left")
         url = F.when((F.col("quarter") != "") & (F.col("primaryid") != ""), F.coalesce("known", S.quarter_url(F.col("quarter"))))
-    rows = rows.select("*", F.array("record").alias("records"), F.array(url).alias("urls"))
-    return R.merged_edges(rows, ["norm", "object_text"], ["records", "urls"], leads=["fallback"], order=["primaryid", "seq", "record"])
+    # sets are combined before the one shuffle, so a hot pair moves its distinct values of each partition only
+    first = F.min(F.struct("primaryid", "seq", "record", "fallback"))["fallback"]
+    of = lambda c: F.array_sort(F.collect_set(F.when(c != "", c)))
+    return rows.groupBy("norm", "object_text").agg(first.alias("fallback"), of(F.col("record")).alias("records"), of(url).alias("urls"))
 
 
 def case_candidates(cases: DataFrame, terms: DataFrame, quarter_urls: DataFrame | None = None, numbers: DataFrame | None = None) -> DataFrame:
@@ -260,7 +262,7 @@ def with_status(rows: DataFrame, approved: DataFrame | None) -> DataFrame:
         return rows.withColumn("clinical_approval_status", F.lit("not_provided"))
     keys = {"__s": S.normalize_text(F.col("subject_text")), "__o": S.normalize_text(F.col("object_text"))}
     known = approved.select(*[v.alias(k) for k, v in keys.items()]).where("__s <> '' and __o <> ''").distinct().withColumn("__is", F.lit(True))
-    met = rows.withColumns(keys).join(known, list(keys), "left")
+    met = rows.withColumns(keys).join(sorted_side(known), list(keys), "left")
     return met.withColumn("clinical_approval_status", F.when(F.col("__is"), "approved_for_condition").otherwise("off_label_use")).drop("__s", "__o", "__is")
 
 
@@ -282,14 +284,14 @@ def observed_uses(cases: DataFrame, terms: DataFrame, approved: DataFrame | None
         rows = rows.join(quarter_urls.select("quarter", F.col("url").alias("known")), "quarter", "left")
         url = F.coalesce("known", url)
     rows = rows.withColumn("url", F.when((F.col("quarter") != "") & (F.col("primaryid") != ""), url))
-    # one tagged element per column, distinct with map-side combine, then gathered: two aggregations in all
-    element = lambda tag, v, raw: F.struct(F.lit(tag).alias("tag"), v.alias("v"), raw.alias("raw"))
-    none = F.lit(None).cast("string")
-    elements = F.array(element("id", F.col("primaryid"), none), element("record", F.col("record"), none), element("url", F.col("url"), none), element("number", S.application_key(F.col("raw")), F.col("raw")))
-    one = rows.select(*pair, F.explode(elements).alias("x")).where("x.tag = 'id' or x.v <> ''").groupBy(*pair, "x.tag", "x.v").agg(F.count(F.lit(1)).alias("n"), F.min("x.raw").alias("raw"))
-    of = lambda tag, c: F.array_sort(F.collect_set(F.when(F.col("tag") == tag, F.col(c))))
-    anonymous = F.coalesce(F.sum(F.when((F.col("tag") == "id") & (F.col("v") == ""), F.col("n"))), F.lit(0))
-    full = one.groupBy(*pair).agg((F.count_if((F.col("tag") == "id") & (F.col("v") != "")) + anonymous).alias("case_count"), of("record", "v").alias("records"), of("url", "v").alias("urls"), of("number", "raw").alias("approval"))
+    # sets are combined before the one shuffle; of the spellings of a number the least one counts
+    of = lambda c: F.collect_set(F.when(c != "", c))
+    number = F.when(F.col("key") != "", F.struct("key", "raw"))
+    full = rows.withColumn("key", S.application_key(F.col("raw"))).groupBy(*pair).agg(
+        (F.size(of(F.col("primaryid"))) + F.count_if(F.col("primaryid") == "")).alias("case_count"), F.array_sort(of(F.col("record"))).alias("records"), F.array_sort(of(F.col("url"))).alias("urls"), F.array_sort(F.collect_set(number)).alias("__n"),
+    )
+    least = F.filter("__n", lambda x, i: (i == 0) | (x["key"] != F.get("__n", i - 1)["key"]))
+    full = full.withColumn("approval", F.array_sort(F.transform(least, lambda x: x["raw"]))).drop("__n")
     full = _dictionary_object(full, "indication", terms)
     if miner is not None:
         missed = full.where("object_term is null").select(S.normalize_text(F.col("indication")).alias("key")).where("key <> ''").distinct()
@@ -317,7 +319,7 @@ def contraindications(evidence: LabelEvidence, miner: Miner, keywords: str = T.K
     items = T.work_items(evidence.sections, evidence.singles, keywords)
     decided = T.classified(T.mined(items, "text", miner), ["section_id", "spl_set_id", "doc_id"]).where("accepted")
     labels = evidence.approvals.groupBy("spl_set_id").agg(F.array_sort(F.collect_set("display")).alias("approval"))
-    rows = decided.join(evidence.singles, "spl_set_id").join(labels, "spl_set_id", "left").select(
+    rows = decided.join(sorted_side(evidence.singles), "spl_set_id").join(sorted_side(labels), "spl_set_id", "left").select(
         F.col("name").alias("subject_text"), F.col("unii").alias("subject_curie"), S.normalize_text(F.col("m.text")).alias("object_text"), S.pipe_safe(F.col("context_text")).alias("disease_context_text"),
         F.array("spl_set_id").alias("sets"), F.array("doc_id").alias("docs"), F.coalesce("approval", F.array().cast("array<string>")).alias("approval"), F.array(S.pipe_safe(F.col("evidence_text"))).alias("evidence"), F.col("m.score").alias("score"),
     ).where("object_text <> ''")

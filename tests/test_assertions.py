@@ -160,6 +160,22 @@ def test_observed(world):
     assert A.observed_uses(cases.limit(0), terms).count() == 0
 
 
+def test_relations_move_a_case_once_and_gather_no_table_on_the_driver(world, spark):
+    evidence, cases, products, terms = world
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert plan(A.case_pairs(cases)).count("Exchange hashpartitioning") == 1
+    assert most_rows(A.case_pairs(cases)) <= cases.count()
+    approved = spark.createDataFrame([("Advil", "headache")], "subject_text string, object_text string")
+    assert "Broadcast" not in plan(A.with_status(A.observed_uses(cases, terms).drop("clinical_approval_status"), approved))
+    assert "Broadcast" not in plan(A.contraindications(evidence, Gazetteer({"asthma": "disease"}).match))
+    spelt = [("24Q3", p, "Advil", nda, "gout", r) for p, nda, r in (("1", "NDA017977", "r2"), ("1", "17977", "r1"), ("", "5", "r1"), ("", "", ""), ("2", "000", None))]
+    rows = spark.createDataFrame(spelt, "quarter string, primaryid string, drugname string, nda_raw string, indication string, source_record_id string")
+    assert pick(A.observed_uses(rows, terms), "case_count", "approval_ids", "supporting_faers_records") == [("4", "17977|5", "r1|r2")]
+    pairs = A.case_pairs(rows.withColumn("nda", rows["nda_raw"]))
+    assert pick(pairs, "norm", "fallback", "records") == [("17977", "Advil", ["r1", "r2"]), ("5", "Advil", ["r1"])]
+    assert {(p["norm"], len(p["urls"])) for p in pairs.collect()} == {("17977", 1), ("5", 0)}
+
+
 def test_contraindications(world):
     evidence, _, _, _ = world
     out = A.contraindications(evidence, Gazetteer({t: k for _, t, _, k in TERMS}).match)
